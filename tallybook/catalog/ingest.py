@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallybook import schema
+from tallybook import schema, session
 from tallybook.catalog.base import NAME_TIME, query, table, visit_events
 from tallybook.functions import dates
 from tallybook.operators import validation
@@ -37,7 +37,8 @@ FROM (SELECT *, event_id % 40 AS kind,
 
 def raw_events(spark, sf_dir: str) -> DataFrame:
     """(event_id, event_time, source_key, value) for every event."""
-    rows = spark.sql(_DAMAGE, events=visit_events(spark, sf_dir))
+    events = session.spread(visit_events(spark, sf_dir))
+    rows = spark.sql(_DAMAGE, events=events)
     fields = [*schema.LEDGER_COLUMNS, "extra"]
     text = F.to_json(F.struct(*fields))
     as_text = F.regexp_replace(text, r'"pipeline_adcid":(\d+)', r'"pipeline_adcid":"$1"')

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallybook import session
 from tallybook.catalog.base import query, table, visit_events
 from tallybook.functions import dates, text
 
@@ -14,7 +15,7 @@ for _name, _pattern in text.MASK_PATTERNS.items():
 
 @query("pii_redact", f"SELECT doc_id, {_MASKED} AS text FROM documents")
 def pii_redact(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = session.spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", text.mask(F.col("text")).alias("text"))
 
 
@@ -31,7 +32,7 @@ def pii_redact(spark, sf_dir):
 )
 def pii_hits(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("source", "text")
-    return text.mask_hits(docs, "text", ["source"])
+    return text.mask_hits(session.spread(docs), "text", ["source"])
 
 
 @query(
@@ -40,7 +41,7 @@ def pii_hits(spark, sf_dir):
         ' ', 'g')) AS text FROM documents""",
 )
 def normalise_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = session.spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", text.collapse_whitespace(F.col("text")).alias("text"))
 
 
@@ -95,7 +96,7 @@ def rename_columns(spark, sf_dir):
               lambda s: CAST(s AS DOUBLE)) AS n FROM documents) t""",
 )
 def extract_numbers(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = session.spread(table(spark, sf_dir, "documents"))
     found = docs.select("doc_id", text.numbers_in(F.col("text")).alias("n"))
     return found.select(
         "doc_id",

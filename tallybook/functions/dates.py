@@ -8,8 +8,8 @@ from pyspark.sql import Column, functions as F
 
 # --- fixed values: accepted timestamp shape -----------------------------------
 ISO_TIMESTAMP = (
-    r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:[T ](\d{2}:\d{2})(:\d{2}(?:\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?\z"
+    r"^\d{4}-\d{2}-\d{2}"
+    r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?\z"
 )
 # --- fixed values: dates in file names, tried in this order -------------------
 NAME_DATES = (r"(\d{4}-\d{2}-\d{2})", r"(\d{8})", r"(\d{4}_\d{2}_\d{2})")
@@ -19,17 +19,20 @@ def parse_iso_utc(text: Column) -> Column:
     """ISO date or date-time text to a timestamp; no offset means UTC.
 
     Any other text is NULL: a plain cast would also take '2024' or a bare time,
-    the latter as today.
+    the latter as today. One pattern match decides the shape; the rest is by position.
     """
-
-    def part(group: int, default: str) -> Column:
-        found = F.regexp_extract(text, ISO_TIMESTAMP, group)
-        return F.when(found == "", F.lit(default)).otherwise(found)
-
-    full = F.concat(
-        part(1, ""), F.lit("T"), part(2, "00:00"), part(3, ":00"), part(4, "Z")
+    tail = F.substring(text, 17, 40)  # what follows the minutes
+    no_seconds = ~tail.startswith(":")
+    full_clock = F.when(
+        no_seconds, F.concat(F.substring(text, 1, 16), F.lit(":00"), tail)
+    ).otherwise(text)
+    zoned = tail.endswith("Z") | tail.contains("+") | tail.contains("-")
+    complete = (
+        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .when(zoned, full_clock)
+        .otherwise(F.concat(full_clock, F.lit("Z")))
     )
-    return F.when(text.rlike(ISO_TIMESTAMP), full.try_cast("timestamp"))
+    return F.when(text.rlike(ISO_TIMESTAMP), complete.try_cast("timestamp"))
 
 
 def to_iso(ts: Column) -> Column:

@@ -64,34 +64,31 @@ def json_text(field: Column) -> Column:
     return F.try_variant_get(field, "$", "string")
 
 
-def _is_text(field: Column) -> Column:
-    return json_type(field) == "STRING"
-
-
-def _lax_int(field: Column) -> Column:
+def _lax_int(kind: Column, raw: Column) -> Column:
     """Whole number from a JSON number, boolean or number text; NULL otherwise."""
-    kind = json_type(field)
-    raw = text.strip_whitespace(json_text(field))
-    whole = F.regexp_replace(F.regexp_replace(raw, r"\.0*\z", ""), r"(?<=\d)_(?=\d)", "")
+    trimmed = text.strip_whitespace(raw)
+    whole = F.regexp_replace(F.regexp_replace(trimmed, r"\.0*\z", ""), r"(?<=\d)_(?=\d)", "")
     return (
-        F.when(kind == "BOOLEAN", F.when(raw == "true", 1).otherwise(0))
-        .when(kind == "VOID", F.lit(None).cast("int"))
-        .when(whole.rlike(r"^[+-]?\d+\z"), whole.try_cast("int"))
+        F.when(kind == "BIGINT", raw.try_cast("int"))
+        .when(kind == "BOOLEAN", raw.cast("boolean").cast("int"))
+        .when(
+            (kind != "VOID") & whole.rlike(r"^[+-]?\d+\z"),
+            whole.try_cast("int"),
+        )
     )
 
 
-def _lax_timestamp(field: Column) -> Column:
+def _lax_timestamp(kind: Column, raw: Column) -> Column:
     """ISO text, or Unix time in seconds (milliseconds beyond 2e10), to a timestamp."""
-    raw = text.strip_whitespace(json_text(field))
-    epoch = F.when(raw.rlike(r"^[+-]?\d+(\.\d*)?\z"), raw.try_cast("decimal(38,6)"))
+    trimmed = text.strip_whitespace(raw)
+    epoch = trimmed.try_cast("decimal(38,6)")
     micros = F.when(F.abs(epoch) <= 20_000_000_000, epoch * 1_000_000).otherwise(epoch * 1_000)
-    usable = json_type(field).isin("BOOLEAN", "VOID") == F.lit(False)
+    from_epoch = F.when(
+        trimmed.rlike(r"^[+-]?\d+(\.\d*)?\z"),
+        F.timestamp_micros(F.floor(micros).try_cast("bigint")),
+    )
     return F.when(
-        usable,
-        F.coalesce(
-            dates.parse_iso_utc(raw),
-            F.timestamp_micros(F.floor(micros).try_cast("bigint")),
-        ),
+        ~kind.isin("BOOLEAN", "VOID"), F.coalesce(dates.parse_iso_utc(trimmed), from_epoch)
     )
 
 
@@ -100,72 +97,95 @@ def check_visit_events(raw: DataFrame, strict: bool = False) -> DataFrame:
 
     Returns the input columns but `value`, the ledger columns and `errors`; a valid
     row has no errors. `strict` adds the published consumer rules.
-    """
-    df = read_documents(raw, schema.LEDGER_COLUMNS)
-    doc = {c: F.col(f"doc.`{c}`") for c in schema.LEDGER_COLUMNS}
-    has_doc = F.col("doc").isNotNull()
-    words = ("action", "datatype")  # compared exactly; other text is trimmed first
-    typed = {
-        c: json_text(doc[c]) if c in words else text.strip_whitespace(json_text(doc[c]))
-        for c in schema.LEDGER_COLUMNS
-    }
-    typed["study"] = F.when(doc["study"].isNull(), schema.DEFAULT_STUDY).otherwise(typed["study"])
-    typed["pipeline_adcid"] = _lax_int(doc["pipeline_adcid"])
-    typed["timestamp"] = _lax_timestamp(doc["timestamp"])
 
+    Three projections, each reading plain columns of the one before: JSON type and
+    text per field, typed columns, messages. No field is extracted or parsed twice.
+    """
     carried = [c for c in raw.columns if c != "value"]
-    columns = [typed[f.name].cast(f.dataType).alias(f.name) for f in schema.LEDGER]
-    kept = [doc[c].alias(f"_{c}") for c in schema.LEDGER_COLUMNS]
-    df = df.select(*carried, has_doc.alias("_doc"), "doc_keys", *kept, *columns)
+    names = schema.LEDGER_COLUMNS
+    col = F.col
+    surplus = F.size(F.array_except("doc_keys", F.array(*map(F.lit, names)))) > 0
+    fields = read_documents(raw, names).select(
+        *carried,
+        col("doc").isNotNull().alias("_doc"),
+        surplus.alias("_surplus"),
+        *[json_type(col(f"doc.`{c}`")).alias(f"_kind_{c}") for c in names],
+        *[json_text(col(f"doc.`{c}`")).alias(f"_text_{c}") for c in names],
+    )
+
+    typed = {c: text.strip_whitespace(col(f"_text_{c}")) for c in names}
+    for word in ("action", "datatype"):  # compared as written; other text is trimmed
+        typed[word] = col(f"_text_{word}")
+    typed["study"] = F.when(col("_kind_study").isNull(), schema.DEFAULT_STUDY).otherwise(
+        typed["study"]
+    )
+    typed["pipeline_adcid"] = _lax_int(col("_kind_pipeline_adcid"), col("_text_pipeline_adcid"))
+    typed["timestamp"] = _lax_timestamp(col("_kind_timestamp"), col("_text_timestamp"))
+    rows = fields.select(
+        *carried,
+        "_doc",
+        "_surplus",
+        *[f"_kind_{c}" for c in names],
+        *[typed[f.name].cast(f.dataType).alias(f.name) for f in schema.LEDGER],
+    )
+
+    rules = _visit_event_rules() + (strict_rules() if strict else [])
+    return rows.select(*carried, *names, error_list(rules).alias("errors"))
 
-    rules = [Rule("JSON decode error", ~F.col("_doc"))]
+
+def _visit_event_rules() -> list[Rule]:
+    """Rules over the typed columns and each field's JSON type `_kind_<field>`."""
     col = F.col
-    for c in schema.REQUIRED:
-        rules.append(Rule(f"{c}: field required", col("_doc") & col(f"_{c}").isNull()))
-    for c in schema.LEDGER_COLUMNS:
-        if c in ("pipeline_adcid", "timestamp"):
-            continue
-        allowed = ("STRING", "VOID") if c in schema.NULLABLE else ("STRING",)
-        rules.append(Rule(f"{c}: not a string", ~json_type(col(f"_{c}")).isin(*allowed)))
-    rules += [
-        Rule("action: unknown value", _is_text(col("_action")) & ~col("action").isin(*schema.ACTIONS)),
+
+    def kind(c: str) -> Column:
+        return col(f"_kind_{c}")
+
+    def is_text(c: str) -> Column:
+        return kind(c) == "STRING"
+
+    missing = [
+        Rule(f"{c}: field required", col("_doc") & kind(c).isNull()) for c in schema.REQUIRED
+    ]
+    not_text = [
+        Rule(
+            f"{c}: not a string",
+            ~is_text(c) & ((kind(c) != "VOID") | F.lit(c not in schema.NULLABLE)),
+        )
+        for c in schema.LEDGER_COLUMNS
+        if c not in ("pipeline_adcid", "timestamp")
+    ]
+    is_form = col("datatype") == schema.FORM_DATATYPE
+    return [
+        Rule("JSON decode error", ~col("_doc")),
+        *missing,
+        *not_text,
+        Rule(
+            "action: unknown value", is_text("action") & ~col("action").isin(*schema.ACTIONS)
+        ),
         Rule(
             "datatype: unknown value",
-            _is_text(col("_datatype")) & ~col("datatype").isin(*schema.DATATYPES),
+            is_text("datatype") & ~col("datatype").isin(*schema.DATATYPES),
         ),
         Rule(
             "pipeline_adcid: not an integer",
-            col("_pipeline_adcid").isNotNull() & col("pipeline_adcid").isNull(),
+            kind("pipeline_adcid").isNotNull() & col("pipeline_adcid").isNull(),
         ),
-        Rule("ptid: bad pattern", _is_text(col("_ptid")) & ~col("ptid").rlike(schema.PTID_PATTERN)),
+        Rule("ptid: bad pattern", is_text("ptid") & ~col("ptid").rlike(schema.PTID_PATTERN)),
         Rule(
             "visit_date: bad pattern",
-            _is_text(col("_visit_date")) & ~col("visit_date").rlike(schema.VISIT_DATE_PATTERN),
-        ),
-        Rule(
-            "timestamp: not a date-time", col("_timestamp").isNotNull() & col("timestamp").isNull()
+            is_text("visit_date") & ~col("visit_date").rlike(schema.VISIT_DATE_PATTERN),
         ),
         Rule(
-            "module: required for form",
-            (col("datatype") == schema.FORM_DATATYPE)
-            & (col("_module").isNull() | (json_type(col("_module")) == "VOID")),
+            "timestamp: not a date-time",
+            kind("timestamp").isNotNull() & col("timestamp").isNull(),
         ),
+        Rule("module: required for form", is_form & col("module").isNull()),
         Rule(
             "module: only allowed for form",
-            col("datatype").isin(*schema.DATATYPES)
-            & (col("datatype") != schema.FORM_DATATYPE)
-            & col("module").isNotNull(),
-        ),
-        Rule(
-            "extra field",
-            F.size(F.array_except("doc_keys", F.array(*map(F.lit, schema.LEDGER_COLUMNS)))) > 0,
+            ~is_form & col("datatype").isin(*schema.DATATYPES) & col("module").isNotNull(),
         ),
+        Rule("extra field", col("_surplus")),
     ]
-    if strict:
-        rules += strict_rules()
-    return df.select(
-        *carried, *schema.LEDGER_COLUMNS, error_list(rules).alias("errors")
-    )
 
 
 def strict_rules() -> list[Rule]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -13,9 +13,24 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Row checks make large generated methods; HotSpot does not compile any above 8000
+    # bytes, so Spark should fall back to smaller pieces there.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give CPU-heavy work all cores when a table scan comes in very few splits.
+
+    A scan with splits for at least half of the cores is left alone, so large inputs
+    are not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() * 2 > cores:
+        return scan
+    return scan.repartition(cores)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
