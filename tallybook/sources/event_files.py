@@ -27,6 +27,16 @@ def name_matches(key: Column, pattern: str = schema.EVENT_FILE_PATTERN) -> Colum
     return key.rlike(_UNICODE + pattern)
 
 
+def file_key() -> Column:
+    """The scanned file's path as plain text; Spark reports it percent-encoded."""
+    return _plain_path(F.col("_metadata.file_path"))
+
+
+def _plain_path(encoded: Column) -> Column:
+    plain = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """source_key, size and modified of every non-empty file at any depth.
 
@@ -34,9 +44,9 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select(
-        F.col("path").alias("source_key"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"),
+        file_key().alias("source_key"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 
@@ -144,7 +154,7 @@ def read_event_files(
     else:
         raise ValueError(f"unknown layout {layout!r}; use 'objects' or 'lines'")
     rows = reader.option("recursiveFileLookup", "true").text(path)
-    key = F.col("_metadata.file_path")
+    key = file_key()
     if pattern is not None:
         rows = rows.filter(name_matches(key, pattern))
     if named_from is not None:
@@ -162,7 +172,9 @@ def empty_event_files(
     and the scan does not return.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    indexed = spark.createDataFrame([(f,) for f in files.inputFiles()], "source_key string")
+    indexed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").select(
+        _plain_path(F.col("path")).alias("source_key")
+    )
     found = list_files(spark, path).select("source_key")
     missing = select_event_files(indexed, pattern=pattern).join(found, "source_key", "left_anti")
     return missing.select("source_key", F.lit("").alias("value"))

@@ -28,8 +28,7 @@ def read_event_stream(
         raise ValueError(f"unknown layout {layout!r}; use 'objects' or 'lines'")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    key = F.col("_metadata.file_path")
-    rows = reader.load(path).select(key.alias("source_key"), "value")
+    rows = reader.load(path).select(event_files.file_key().alias("source_key"), "value")
     if pattern is None:
         return rows
     return rows.filter(event_files.name_matches(F.col("source_key"), pattern))
