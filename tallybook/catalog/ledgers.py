@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallybook import schema, session
 from tallybook.catalog.base import query, visit_events
@@ -73,27 +73,15 @@ def template_sink(spark, sf_dir):
     f"SELECT {_LEDGER}, 0 AS out_of_order FROM ({_PRODUCTION}) p",
 )
 def ledger_sorted(spark, sf_dir):
-    """Rows of a stored ledger, flagged when a file holds a later row before them."""
+    """Rows of a stored ledger, flagged when the row before them in the file is later."""
     path = session.scratch_path(spark, "sorted")
     save_ledger(_production(spark, sf_dir), path)
     stored = spark.read.parquet(path).withColumns(
-        {"file": F.col("_metadata.file_path"), "start": F.col("_metadata.file_block_start")}
+        {"file": F.col("_metadata.file_path"), "row": F.col("_metadata.row_index")}
     )
-    spans = stored.groupBy("file").agg(
-        F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")
-    )
-    overlaps = (
-        spans.alias("a")
-        .join(
-            spans.alias("b"),
-            (F.col("a.file") < F.col("b.file")) & (F.col("a.hi") > F.col("b.lo")),
-            "left_semi",
-        )
-        .select("file", F.lit(1).alias("overlap"))
-    )
-    flagged = stored.join(overlaps, "file", "left")
-    late = F.coalesce("overlap", F.lit(0)).alias("out_of_order")
-    return ledger_view(flagged.withColumn("out_of_order", late), "out_of_order")
+    before = F.lag("timestamp").over(W.partitionBy("file").orderBy("row"))
+    late = F.coalesce((F.col("timestamp") < before).cast("int"), F.lit(0))
+    return ledger_view(stored.withColumn("out_of_order", late), "out_of_order")
 
 
 @query(

@@ -185,8 +185,12 @@ class LedgerStore:
 
 
 def save_ledger(rows: DataFrame, path: str) -> None:
-    """Replace one ledger table; rows must not come from the same path."""
-    spread = conform(rows).repartitionByRange("timestamp")
+    """Replace one ledger table; rows must not come from the same path.
+
+    Rows are spread without a key, so equal timestamps or copies cannot crowd one
+    task, and each file is sorted by time.
+    """
+    spread = conform(rows).hint("rebalance")
     spread.sortWithinPartitions("timestamp").write.mode("overwrite").parquet(path)
 
 
