@@ -181,6 +181,52 @@ def record_rules(spark, sf_dir):
     return checked.select("o_orderkey", F.array_join("errors", "; ").alias("errors"))
 
 
+_KIND = "o_orderkey % 9"
+
+
+@query(
+    "transaction_records",
+    f"""SELECT o_orderkey, CASE {_KIND} WHEN 1 THEN 'amount: not a double'
+          WHEN 2 THEN 'transaction_date: not a timestamp' WHEN 3 THEN 'category: field required'
+          WHEN 4 THEN 'transaction_id: not a string' WHEN 5 THEN 'JSON decode error'
+          WHEN 6 THEN 'amount: must not be negative' ELSE '' END AS errors,
+        CASE {_KIND} WHEN 1 THEN NULL WHEN 5 THEN NULL WHEN 6 THEN -1.5 ELSE o_totalprice END
+          AS amount,
+        CASE WHEN {_KIND} NOT IN (2, 5) THEN o_orderdate END AS transaction_date FROM orders""",
+)
+def transaction_records(spark, sf_dir):
+    orders = session.spread(table(spark, sf_dir, "orders"))
+    kind = F.col("o_orderkey") % 9
+    key = F.col("o_orderkey").cast("string")
+    quoted = F.concat(F.lit('"'), key, F.lit('"'))
+    amount = (
+        F.when(kind == 1, F.lit('"much"'))
+        .when(kind == 6, F.lit("-1.5"))
+        .when(kind == 7, F.concat(F.lit('" '), F.col("o_totalprice"), F.lit('"')))
+        .otherwise(F.col("o_totalprice").cast("string"))
+    )
+    date = F.when(kind == 2, F.lit("1995-02-30")).otherwise(
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    )
+    parts = [
+        F.lit('{"transaction_id":'), F.when(kind == 4, key).otherwise(quoted),
+        F.lit(',"customer_id":"'), F.col("o_custkey").cast("string"),
+        F.lit('","amount":'), amount,
+        F.lit(',"transaction_date":"'), date, F.lit('"'),
+        F.when(kind == 3, F.lit("")).otherwise(F.lit(',"category":"order"')),
+        F.when(kind == 5, F.lit("")).otherwise(F.lit(',"unknown":1}')),
+    ]
+    raw = orders.select("o_orderkey", F.concat(*parts).alias("value"))
+    rule = validation.Rule("amount: must not be negative", "amount < 0")
+    checked = validation.check_records(raw, schema.TRANSACTION, [rule])
+    return checked.select(
+        "o_orderkey",
+        F.array_join("errors", "; ").alias("errors"),
+        "amount",
+        F.col("transaction_date").cast("timestamp_ntz").alias("transaction_date"),
+    )
+
+
 @query(
     "batch_validation",
     """SELECT COUNT(*) AS total_records, COUNT(*) FILTER (WHERE errors = '') AS valid_records,

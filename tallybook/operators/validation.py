@@ -1,8 +1,9 @@
 """Row rules, and the split of raw rows into valid and quarantined ones.
 
-A rule is a message and a boolean column that is true when the row breaks it. All
-rules of a profile become one array column, so a row is checked in one pass and
-every message is kept.
+A rule is a message and a condition that is true when the row breaks it, as a column
+or as SQL text. All rules of a profile become one array column, so a row is checked in
+one pass and every message is kept. Long rule lists are SQL text: it reaches Spark in
+one call, where each column operation would be a call of its own.
 """
 
 from __future__ import annotations
@@ -19,14 +20,28 @@ from tallybook.functions import dates, text
 @dataclass(frozen=True)
 class Rule:
     message: str
-    broken: Column
+    broken: Column | str
 
 
 def error_list(rules: Sequence[Rule]) -> Column:
     """Messages of all broken rules; a rule whose condition is NULL is not broken."""
-    return F.array_compact(
-        F.array(*[F.when(r.broken, F.lit(r.message)) for r in rules])
-    ).cast("array<string>")
+    if all(isinstance(r.broken, str) for r in rules):
+        cases = ", ".join(
+            f"CASE WHEN {r.broken} THEN {sql_text(r.message)} END" for r in rules
+        )
+        return F.expr(f"array_compact(array({cases}))").cast("array<string>")
+    broken = [F.expr(r.broken) if isinstance(r.broken, str) else r.broken for r in rules]
+    messages = [F.when(b, F.lit(r.message)) for b, r in zip(broken, rules, strict=True)]
+    return F.array_compact(F.array(*messages)).cast("array<string>")
+
+
+def sql_text(value: str) -> str:
+    """A string as a SQL literal; backslashes stay as they are."""
+    return "r'" + value + "'" if "'" not in value else 'r"' + value + '"'
+
+
+def sql_list(values: Sequence[str]) -> str:
+    return "(" + ", ".join(map(sql_text, values)) + ")"
 
 
 # --- JSON documents -------------------------------------------------------------
@@ -64,16 +79,16 @@ def json_text(field: Column) -> Column:
     return F.try_variant_get(field, "$", "string")
 
 
-def _lax_int(kind: Column, raw: Column) -> Column:
+def _lax_int(kind: Column, raw: Column, to: str = "int") -> Column:
     """Whole number from a JSON number, boolean or number text; NULL otherwise."""
     trimmed = text.strip_whitespace(raw)
     whole = F.regexp_replace(F.regexp_replace(trimmed, r"\.0*\z", ""), r"(?<=\d)_(?=\d)", "")
     return (
-        F.when(kind == "BIGINT", raw.try_cast("int"))
-        .when(kind == "BOOLEAN", raw.cast("boolean").cast("int"))
+        F.when(kind == "BIGINT", raw.try_cast(to))
+        .when(kind == "BOOLEAN", raw.cast("boolean").cast("int").cast(to))
         .when(
             (kind != "VOID") & whole.rlike(r"^[+-]?\d+\z"),
-            whole.try_cast("int"),
+            whole.try_cast(to),
         )
     )
 
@@ -104,13 +119,13 @@ def check_visit_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     carried = [c for c in raw.columns if c != "value"]
     names = schema.LEDGER_COLUMNS
     col = F.col
-    surplus = F.size(F.array_except("doc_keys", F.array(*map(F.lit, names)))) > 0
-    fields = read_documents(raw, names).select(
-        *carried,
-        col("doc").isNotNull().alias("_doc"),
-        surplus.alias("_surplus"),
-        *[json_type(col(f"doc.`{c}`")).alias(f"_kind_{c}") for c in names],
-        *[json_text(col(f"doc.`{c}`")).alias(f"_text_{c}") for c in names],
+    known = "array" + sql_list(names)
+    fields = read_documents(raw, names).selectExpr(
+        *[f"`{c}`" for c in carried],
+        "doc IS NOT NULL AS _doc",
+        f"size(array_except(doc_keys, {known})) > 0 AS _surplus",
+        *[f"schema_of_variant(doc.`{c}`) AS _kind_{c}" for c in names],
+        *[f"try_variant_get(doc.`{c}`, '$', 'string') AS _text_{c}" for c in names],
     )
 
     typed = {c: text.strip_whitespace(col(f"_text_{c}")) for c in names}
@@ -135,76 +150,118 @@ def check_visit_events(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 def _visit_event_rules() -> list[Rule]:
     """Rules over the typed columns and each field's JSON type `_kind_<field>`."""
-    col = F.col
-
-    def kind(c: str) -> Column:
-        return col(f"_kind_{c}")
-
-    def is_text(c: str) -> Column:
-        return kind(c) == "STRING"
-
-    missing = [
-        Rule(f"{c}: field required", col("_doc") & kind(c).isNull()) for c in schema.REQUIRED
-    ]
-    not_text = [
-        Rule(
-            f"{c}: not a string",
-            ~is_text(c) & ((kind(c) != "VOID") | F.lit(c not in schema.NULLABLE)),
-        )
-        for c in schema.LEDGER_COLUMNS
-        if c not in ("pipeline_adcid", "timestamp")
-    ]
-    is_form = col("datatype") == schema.FORM_DATATYPE
+    texts = [c for c in schema.LEDGER_COLUMNS if c not in ("pipeline_adcid", "timestamp")]
+    nullable = {c: "'STRING', 'VOID'" for c in schema.NULLABLE}
+    form = sql_text(schema.FORM_DATATYPE)
     return [
-        Rule("JSON decode error", ~col("_doc")),
-        *missing,
-        *not_text,
+        Rule("JSON decode error", "NOT _doc"),
+        *[Rule(f"{c}: field required", f"_doc AND _kind_{c} IS NULL") for c in schema.REQUIRED],
+        *[
+            Rule(f"{c}: not a string", f"_kind_{c} NOT IN ({nullable.get(c, "'STRING'")})")
+            for c in texts
+        ],
         Rule(
-            "action: unknown value", is_text("action") & ~col("action").isin(*schema.ACTIONS)
+            "action: unknown value",
+            f"_kind_action = 'STRING' AND action NOT IN {sql_list(schema.ACTIONS)}",
         ),
         Rule(
             "datatype: unknown value",
-            is_text("datatype") & ~col("datatype").isin(*schema.DATATYPES),
+            f"_kind_datatype = 'STRING' AND datatype NOT IN {sql_list(schema.DATATYPES)}",
         ),
         Rule(
             "pipeline_adcid: not an integer",
-            kind("pipeline_adcid").isNotNull() & col("pipeline_adcid").isNull(),
+            "_kind_pipeline_adcid IS NOT NULL AND pipeline_adcid IS NULL",
         ),
-        Rule("ptid: bad pattern", is_text("ptid") & ~col("ptid").rlike(schema.PTID_PATTERN)),
         Rule(
-            "visit_date: bad pattern",
-            is_text("visit_date") & ~col("visit_date").rlike(schema.VISIT_DATE_PATTERN),
+            "ptid: bad pattern",
+            f"_kind_ptid = 'STRING' AND NOT rlike(ptid, {sql_text(schema.PTID_PATTERN)})",
         ),
         Rule(
-            "timestamp: not a date-time",
-            kind("timestamp").isNotNull() & col("timestamp").isNull(),
+            "visit_date: bad pattern",
+            "_kind_visit_date = 'STRING' AND NOT "
+            f"rlike(visit_date, {sql_text(schema.VISIT_DATE_PATTERN)})",
         ),
-        Rule("module: required for form", is_form & col("module").isNull()),
+        Rule("timestamp: not a date-time", "_kind_timestamp IS NOT NULL AND timestamp IS NULL"),
+        Rule("module: required for form", f"datatype = {form} AND module IS NULL"),
         Rule(
             "module: only allowed for form",
-            ~is_form & col("datatype").isin(*schema.DATATYPES) & col("module").isNotNull(),
+            f"datatype <> {form} AND datatype IN {sql_list(schema.DATATYPES)} "
+            "AND module IS NOT NULL",
         ),
-        Rule("extra field", col("_surplus")),
+        Rule("extra field", "_surplus"),
     ]
 
 
 def strict_rules() -> list[Rule]:
     """The published consumer profile, on typed ledger columns."""
-    col = F.col
     nonempty = ("study", "project_label", "center_label", "gear_name", "visit_number", "datatype")
     return [
-        Rule("ptid: only capitals and digits", ~col("ptid").rlike(r"^[A-Z0-9]+\z")),
-        Rule("pipeline_adcid: below 1", col("pipeline_adcid") < 1),
-        Rule("visit_number: field required", col("visit_number").isNull()),
+        Rule("ptid: only capitals and digits", r"NOT rlike(ptid, r'^[A-Z0-9]+\z')"),
+        Rule("pipeline_adcid: below 1", "pipeline_adcid < 1"),
+        Rule("visit_number: field required", "visit_number IS NULL"),
         Rule(
             "visit_date: not a calendar date",
-            col("visit_date").rlike(schema.VISIT_DATE_PATTERN)
-            & dates.try_date(col("visit_date")).isNull(),
+            f"rlike(visit_date, {sql_text(schema.VISIT_DATE_PATTERN)}) "
+            "AND try_cast(visit_date AS date) IS NULL",
         ),
-        *[Rule(f"{c}: empty", col(c) == "") for c in nonempty],
+        *[Rule(f"{c}: empty", f"{c} = ''") for c in nonempty],
     ]
 
 
+def check_records(
+    raw: DataFrame, model: T.StructType, rules: Sequence[Rule] = (), value: str = "value"
+) -> DataFrame:
+    """Check JSON records against any model: its types, its required fields, its rules.
+
+    A non-nullable field of the model must be there and not null; text must be JSON
+    text, numbers and times are read leniently, a variant field must be an object.
+    Unknown fields are ignored. Rules see the typed columns. Returns the input columns
+    but the text, the model's columns and `errors`.
+    """
+    carried = [c for c in raw.columns if c != value]
+    names = model.fieldNames()
+    fields = read_documents(raw, names, value).selectExpr(
+        *[f"`{c}`" for c in carried],
+        "doc IS NOT NULL AS _doc",
+        *[f"schema_of_variant(doc.`{c}`) AS `_kind_{c}`" for c in names],
+        *[f"try_variant_get(doc.`{c}`, '$', 'string') AS `_text_{c}`" for c in names],
+        *[f"doc.`{c}` AS `_raw_{c}`" for c in names],
+    )
+    typed = [_typed_field(f).alias(f.name) for f in model]
+    rows = fields.select(*carried, "_doc", *[f"_kind_{c}" for c in names], *typed)
+    checks = [Rule("JSON decode error", "NOT _doc")]
+    for f in model:
+        kind = f"`_kind_{f.name}`"
+        checks.append(
+            Rule(
+                f"{f.name}: not a {f.dataType.simpleString()}",
+                f"{kind} IS NOT NULL AND `{f.name}` IS NULL"
+                + (f" AND {kind} <> 'VOID'" if f.nullable else ""),
+            )
+        )
+        if not f.nullable:
+            checks.append(Rule(f"{f.name}: field required", f"_doc AND {kind} IS NULL"))
+    return rows.select(*carried, *names, error_list([*checks, *rules]).alias("errors"))
+
+
+def _typed_field(field: T.StructField) -> Column:
+    kind, raw = F.col(f"_kind_{field.name}"), F.col(f"_text_{field.name}")
+    if isinstance(field.dataType, T.StringType):
+        return F.when(kind == "STRING", raw)
+    if isinstance(field.dataType, T.TimestampType):
+        return _lax_timestamp(kind, raw)
+    if isinstance(field.dataType, T.VariantType):
+        return F.when(kind.startswith("OBJECT"), F.col(f"_raw_{field.name}"))
+    if isinstance(field.dataType, T.IntegralType):
+        return _lax_int(kind, raw, field.dataType.simpleString())
+    if isinstance(field.dataType, T.FractionalType):
+        as_number = F.when(kind == "BOOLEAN", raw.try_cast("boolean").cast("int").cast("string"))
+        return F.coalesce(as_number, text.strip_whitespace(raw)).try_cast(field.dataType)
+    if isinstance(field.dataType, T.BooleanType):
+        return raw.try_cast("boolean")
+    raise ValueError(f"{field.name}: no rule for type {field.dataType.simpleString()}")
+
+
 def check_ledger_strict(df: DataFrame) -> DataFrame:
     """Add `errors` of the consumer profile to already typed rows."""
     return df.withColumn("errors", error_list(strict_rules()))

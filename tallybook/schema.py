@@ -27,6 +27,43 @@ LEDGER = T.StructType(
     ]
 )
 
+# --- fixed values: other record models; a nullable field is optional -------------
+_TEXT, _NUMBER, _TIME = T.StringType(), T.DoubleType(), T.TimestampType()
+RECORD = T.StructType(
+    [
+        T.StructField("id", _TEXT, False),
+        T.StructField("name", _TEXT, False),
+        T.StructField("value", _NUMBER, False),
+        T.StructField("timestamp", _TIME, False),
+    ]
+)
+CUSTOMER = T.StructType(
+    [
+        T.StructField("customer_id", _TEXT, False),
+        T.StructField("email", _TEXT, False),
+        T.StructField("registration_date", _TIME, False),
+        T.StructField("status", _TEXT, False),
+    ]
+)
+TRANSACTION = T.StructType(
+    [
+        T.StructField("transaction_id", _TEXT, False),
+        T.StructField("customer_id", _TEXT, False),
+        T.StructField("amount", _NUMBER, False),
+        T.StructField("transaction_date", _TIME, False),
+        T.StructField("category", _TEXT, False),
+    ]
+)
+REPORTING_EVENT = T.StructType(
+    [
+        T.StructField("timestamp", _TIME),
+        T.StructField("source", _TEXT, False),
+        T.StructField("event_type", _TEXT, False),
+        T.StructField("data", T.VariantType()),
+        T.StructField("metadata", T.VariantType()),
+    ]
+)
+
 # --- fixed values: accepted words ---------------------------------------------
 ACTIONS = ("submit", "delete", "not-pass-qc", "pass-qc")
 DATATYPES = (

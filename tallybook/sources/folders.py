@@ -24,6 +24,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, listed in one call."""
+    fs, p = _resolve(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(p) or [])
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _resolve(spark, path)
     fs.create(p, True).close()

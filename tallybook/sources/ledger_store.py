@@ -72,6 +72,11 @@ class LedgerStore:
     def _run_path(self, kind: str, run_id: str) -> str:
         return f"{self.root}/{kind}/run={run_id}"
 
+    def _finished_runs(self, kind: str) -> list[str]:
+        """Runs whose folder carries Spark's success marker."""
+        marks = folders.matching(self.spark, f"{self.root}/{kind}/run=*/_SUCCESS")
+        return [m.split("/")[-2].removeprefix("run=") for m in marks]
+
     def _finished(self, kind: str, run_id: str) -> bool:
         return folders.exists(self.spark, f"{self._run_path(kind, run_id)}/_SUCCESS")
 
@@ -79,9 +84,7 @@ class LedgerStore:
         return self._finished("events", run_id)
 
     def committed_runs(self) -> list[str]:
-        names = folders.children(self.spark, f"{self.root}/events")
-        runs = [n.removeprefix("run=") for n in names if n.startswith("run=")]
-        return [r for r in runs if self.is_committed(r)]
+        return self._finished_runs("events")
 
     @staticmethod
     def part_id(run_id: str, study: str, datatype: str) -> str:
@@ -122,8 +125,9 @@ class LedgerStore:
     def marks(self) -> DataFrame:
         """Watermark and event count per ledger."""
         runs = self.committed_runs()
-        noted = [r for r in runs if self._finished("marks", r)]
-        scanned = [r for r in runs if r not in set(noted)]
+        with_marks = set(self._finished_runs("marks"))
+        noted = [r for r in runs if r in with_marks]
+        scanned = [r for r in runs if r not in with_marks]
         parts = self.spark.createDataFrame([], MARKS)
         if noted:
             paths = [self._run_path("marks", r) for r in noted]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -44,6 +45,21 @@ def read_json(spark: SparkSession, path: str, declared=None, multi_line: bool =
     return reader.json(path)
 
 
+def read_json_since(
+    spark: SparkSession, path: str, declared: T.StructType | str, since: datetime | None = None
+) -> DataFrame:
+    """JSON files modified at or after a time; older files are not opened.
+
+    The schema is declared, because inference would open every file.
+    """
+    rows = read_json(spark, path, declared)
+    if since is None:
+        return rows
+    changed = F.col("_metadata.file_modification_time")
+    bound = F.lit(str(since)).cast("timestamp")
+    return rows.filter(changed >= bound).select(*rows.columns)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,

@@ -17,8 +17,13 @@ def read_event_stream(
     layout: str = "objects",
     pattern: str | None = schema.EVENT_FILE_PATTERN,
     max_files: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """New event files as raw (source_key, value) rows."""
+    """New event files as raw (source_key, value) rows.
+
+    With `archive`, files of finished batches are moved there, which keeps the listing
+    of the landing folder short.
+    """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if layout == "objects":
         reader = reader.option("wholetext", "true")
@@ -28,6 +33,8 @@ def read_event_stream(
         raise ValueError(f"unknown layout {layout!r}; use 'objects' or 'lines'")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     rows = reader.load(path).select(event_files.file_key().alias("source_key"), "value")
     if pattern is None:
         return rows

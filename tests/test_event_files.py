@@ -3,7 +3,7 @@
 import json
 import os
 import time
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -140,6 +140,17 @@ def test_json_objects_and_arrays(spark, tmp_path):
     assert sorted(r.k for r in reports.read_json(spark, str(tmp_path)).collect()) == [1, 2, 3]
 
 
+def test_json_changed_since(spark, tmp_path):
+    for name, k, age in (("a", 1, 1000), ("b", 2, 10)):
+        (tmp_path / f"{name}.json").write_text(f'[{{"k": {k}}}, {{"k": {k * 10}}}]')
+        moment = int(time.time()) - age
+        os.utime(tmp_path / f"{name}.json", (moment, moment))
+    since = datetime.fromtimestamp(int(time.time()) - 100, timezone.utc).replace(tzinfo=None)
+    got = reports.read_json_since(spark, str(tmp_path), "k int", since)
+    assert sorted(r.k for r in got.collect()) == [2, 20]
+    assert reports.read_json_since(spark, str(tmp_path), "k int").count() == 4
+
+
 def test_csv_report(spark, tmp_path):
     source, target = tmp_path / "r.csv", str(tmp_path / "out.parquet")
     source.write_text('id,dummy\n1234,value\n4567,"two\nlines, ""quoted"""\n')

@@ -128,10 +128,33 @@ def test_marks_do_not_need_their_table(spark, store, basic):
     store.append(basic, "r1")
     with_table = store.marks().collect()
     lost = LedgerStore(spark, store.root)
-    lost._finished = lambda kind, run: kind == "events"
+    lost._finished_runs = lambda kind: ["r1"] if kind == "events" else []
     assert lost.marks().collect() == with_table
 
 
+def test_a_ledger_with_most_rows_is_split_over_tasks(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path / "s"))
+    rows = spark.range(0, 200_000, 1, 8).selectExpr(
+        "id",
+        "CASE WHEN id % 3 = 0 THEN 'small' ELSE 'hot' END AS study",
+        "concat('P', id % 1000) AS ptid",
+        "timestamp_micros(id * 1000003 % 90000000000) AS timestamp",
+    )
+    fixed = {c: "x" for c in schema.LEDGER_COLUMNS if c not in ("study", "ptid", "timestamp")}
+    fixed["pipeline_adcid"] = "1"
+    for c, value in fixed.items():
+        rows = rows.withColumn(c, F.lit(value))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300KB")
+    try:
+        assert store.append(rows, "r1") == 200_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.read.parquet(f"{store.root}/events").groupBy("by_study").agg(
+        F.count_distinct("_metadata.file_path").alias("files")
+    )
+    assert {r.by_study: r.files > 4 for r in files.collect()}["hot"]
+
+
 def test_rewrite_and_export(spark, store, basic, tmp_path):
     store.append(basic, "r1")
     store.append(basic.withColumn("datatype", F.lit("dicom")), "r2")

@@ -216,3 +216,29 @@ def test_conform_reorders_and_casts(basic):
         f.dataType for f in schema.LEDGER
     ]
     assert validation.conform(shuffled.limit(0)).columns == list(schema.LEDGER_COLUMNS)
+
+
+def test_record_models(spark):
+    docs = [
+        {"source": "a", "event_type": "b"},
+        {"source": "a", "event_type": "b", "data": {"x": 1}, "metadata": None, "other": 1},
+        {"source": "", "event_type": "b" * 51},
+        {"source": 1, "data": [1]},
+    ]
+    raw = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "i int, value string")
+    rules = [
+        validation.Rule("source: length", "length(source) NOT BETWEEN 1 AND 100"),
+        validation.Rule("event_type: length", "length(event_type) NOT BETWEEN 1 AND 50"),
+    ]
+    checked = validation.check_records(raw, schema.REPORTING_EVENT, rules)
+    got = [set(r.errors) for r in checked.orderBy("i").collect()]
+    assert got == [
+        set(),
+        set(),
+        {"source: length", "event_type: length"},
+        {"source: not a string", "event_type: field required", "data: not a variant"},
+    ]
+    models = (schema.RECORD, schema.CUSTOMER, schema.TRANSACTION)
+    for model in models:
+        empty = validation.check_records(raw.limit(1), model).first()
+        assert len(empty.errors) == len(model)
