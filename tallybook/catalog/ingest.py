@@ -181,6 +181,18 @@ def record_rules(spark, sf_dir):
     return checked.select("o_orderkey", F.array_join("errors", "; ").alias("errors"))
 
 
+@query(
+    "accepted_records",
+    """SELECT o_orderkey, o_totalprice - 100000 AS value, TRUE AS stamped FROM orders
+       WHERE o_orderpriority <> '5-LOW' AND o_totalprice >= 100000""",
+)
+def accepted_records(spark, sf_dir):
+    accepted = validation.accept_records(_records(spark, sf_dir))
+    return accepted.select(
+        "o_orderkey", "value", F.col("processed_at").isNotNull().alias("stamped")
+    )
+
+
 _KIND = "o_orderkey % 9"
 
 

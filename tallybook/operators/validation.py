@@ -458,6 +458,12 @@ def record_errors(id_col: Column, value_col: Column) -> Column:
     )
 
 
+def accept_records(df: DataFrame, id_col: str = "id", value_col: str = "value") -> DataFrame:
+    """Records that pass the record rules, stamped with the processing time."""
+    errors = record_errors(F.col(id_col), F.col(value_col))
+    return df.filter(F.size(errors) == 0).withColumn("processed_at", F.current_timestamp())
+
+
 def length_rule(name: str, col: Column, low: int, high: int) -> Rule:
     ok = (F.length(col) >= low) & (F.length(col) <= high)
     return Rule(f"{name}: length must be {low} to {high}", col.isNull() | ~ok)

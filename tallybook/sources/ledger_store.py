@@ -52,6 +52,12 @@ def load_ledger(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
+def external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """An SQL table over a saved ledger; dropping it leaves the files."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    return spark.table(name)
+
+
 def check_template(template: str) -> str:
     """The template itself, or an error naming the placeholders it lacks."""
     missing = [p for p in ("{study}", "{datatype}") if p not in template]
@@ -122,6 +128,10 @@ class LedgerStore:
             rows = rows.filter((F.col("by_datatype") == datatype) & (F.col("datatype") == datatype))
         return rows.select(*schema.LEDGER_COLUMNS)
 
+    def create_view(self, name: str) -> None:
+        """Offer the committed ledger rows to SQL."""
+        self.events().createOrReplaceTempView(name)
+
     def marks(self) -> DataFrame:
         """Watermark and event count per ledger."""
         runs = self.committed_runs()

@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tallybook.functions import dates, text
-from tallybook.operators import calendar, quality, retention
+from tallybook.operators import calendar, metrics, quality, retention
 
 
 def apply(spark, values, fn, kind="string"):
@@ -142,6 +142,38 @@ def test_reversed_spine_is_an_error(spark):
     assert calendar.date_spine(one, F.col("hi"), F.col("lo")).count() == 5
 
 
+def test_calendar_bounds(spark):
+    one = spark.sql("SELECT date'2024-02-10' AS d, timestamp'2024-01-15 14:30:00' AS t")
+    row = one.select(
+        dates.month_start(F.col("d")), dates.month_end(F.col("d")), dates.hour_path(F.col("t")),
+        dates.is_business_day(F.col("d")),
+    ).first()
+    assert tuple(row) == (date(2024, 2, 1), date(2024, 2, 29), "2024/01/15/14", False)
+
+
+def test_run_metrics(spark):
+    runs = spark.sql(
+        """SELECT timestamp'2024-01-01 10:00:00' AS start_time,
+                  timestamp'2024-01-01 10:00:04' AS end_time, 3L AS records_processed,
+                  1L AS records_failed, 1000L AS bytes_processed, 1L AS output_files_created,
+                  array('a', 'b') AS errors
+           UNION ALL SELECT timestamp'2024-01-01 09:00:00', timestamp'2024-01-01 09:00:00',
+                  0L, 0L, 0L, 0L, array()
+           UNION ALL SELECT timestamp'2024-01-01 11:00:00', timestamp'2024-01-01 10:59:00',
+                  -1L, 0L, 0L, 0L, array('c')"""
+    )
+    a, b, c = metrics.run_metrics(runs).withColumn("bad", metrics.run_errors()).collect()
+    assert (a.duration_seconds, a.total_records, a.success_rate) == (4.0, 4, 75.0)
+    assert (a.records_per_second, a.bytes_per_second, a.bad) == (0.75, 250.0, [])
+    assert (b.success_rate, b.records_per_second, b.bytes_per_second) == (0.0, 0.0, 0.0)
+    assert c.bad == [
+        "end_time must be after start_time", "records_processed must not be negative",
+    ]
+    total = metrics.roll_up(runs.limit(2)).first()
+    assert (total.runs, total.records_processed, total.error_count) == (2, 3, 2)
+    assert [r.error for r in metrics.run_error_rows(runs).collect()] == ["a", "b", "c"]
+
+
 def test_quality(spark):
     rows = [(1, "a"), (1, "a"), (2, None), (3, "c"), (1, "a"), (None, None), (None, None)]
     df = spark.createDataFrame(rows, "n int, s string")

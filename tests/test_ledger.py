@@ -104,6 +104,19 @@ def test_store_keeps_every_row_and_value(spark, store, basic):
     assert store.exists()
 
 
+def test_ledger_in_sql(spark, store, basic, tmp_path):
+    store.append(basic, "r1")
+    store.create_view("ledger_view")
+    alpha = "SELECT COUNT(*) FROM {} WHERE center_label = 'alpha'"
+    assert spark.sql(alpha.format("ledger_view")).first()[0] == 3
+    save_ledger(store.events(), str(tmp_path / "saved"))
+    table = ledger_store.external_table(spark, "ledger_table", str(tmp_path / "saved"))
+    assert table.count() == 6
+    assert spark.sql(alpha.format("ledger_table")).first()[0] == 3
+    spark.sql("DROP TABLE ledger_table")
+    assert folders.exists(spark, str(tmp_path / "saved"))
+
+
 def test_repeating_a_run_adds_nothing(store, basic):
     assert store.append(basic, "r1") == 6
     assert store.append(basic, "r1") == 6
