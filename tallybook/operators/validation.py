@@ -80,9 +80,8 @@ def json_text(field: Column) -> Column:
 
 
 def _lax_int(kind: Column, raw: Column, to: str = "int") -> Column:
-    """Whole number from a JSON number, boolean or number text; NULL otherwise."""
-    trimmed = text.strip_whitespace(raw)
-    whole = F.regexp_replace(F.regexp_replace(trimmed, r"\.0*\z", ""), r"(?<=\d)_(?=\d)", "")
+    """Whole number from a JSON number, boolean or trimmed number text; NULL otherwise."""
+    whole = F.regexp_replace(F.regexp_replace(raw, r"\.0*\z", ""), r"(?<=\d)_(?=\d)", "")
     return (
         F.when(kind == "BIGINT", raw.try_cast(to))
         .when(kind == "BOOLEAN", raw.cast("boolean").cast("int").cast(to))
@@ -94,16 +93,15 @@ def _lax_int(kind: Column, raw: Column, to: str = "int") -> Column:
 
 
 def _lax_timestamp(kind: Column, raw: Column) -> Column:
-    """ISO text, or Unix time in seconds (milliseconds beyond 2e10), to a timestamp."""
-    trimmed = text.strip_whitespace(raw)
-    epoch = trimmed.try_cast("decimal(38,6)")
+    """Trimmed ISO text, or Unix time in seconds (milliseconds beyond 2e10)."""
+    epoch = raw.try_cast("decimal(38,6)")
     micros = F.when(F.abs(epoch) <= 20_000_000_000, epoch * 1_000_000).otherwise(epoch * 1_000)
     from_epoch = F.when(
-        trimmed.rlike(r"^[+-]?\d+(\.\d*)?\z"),
+        raw.rlike(r"^[+-]?\d+(\.\d*)?\z"),
         F.timestamp_micros(F.floor(micros).try_cast("bigint")),
     )
     return F.when(
-        ~kind.isin("BOOLEAN", "VOID"), F.coalesce(dates.parse_iso_utc(trimmed), from_epoch)
+        ~kind.isin("BOOLEAN", "VOID"), F.coalesce(dates.parse_iso_utc(raw), from_epoch)
     )
 
 
@@ -113,29 +111,30 @@ def check_visit_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     Returns the input columns but `value`, the ledger columns and `errors`; a valid
     row has no errors. `strict` adds the published consumer rules.
 
-    Three projections, each reading plain columns of the one before: JSON type and
-    text per field, typed columns, messages. No field is extracted or parsed twice.
+    Projections that each read plain columns of the one before: JSON type and text per
+    field, trimmed text, typed columns, messages. No field is extracted or parsed twice.
     """
     carried = [c for c in raw.columns if c != "value"]
     names = schema.LEDGER_COLUMNS
-    col = F.col
     known = "array" + sql_list(names)
-    fields = read_documents(raw, names).selectExpr(
-        *[f"`{c}`" for c in carried],
-        "doc IS NOT NULL AS _doc",
-        f"size(array_except(doc_keys, {known})) > 0 AS _surplus",
-        *[f"schema_of_variant(doc.`{c}`) AS _kind_{c}" for c in names],
-        *[f"try_variant_get(doc.`{c}`, '$', 'string') AS _text_{c}" for c in names],
+    surplus = f"size(array_except(doc_keys, {known})) > 0 AS _surplus"
+    quoted = [f"`{c}`" for c in carried]
+    fields = _field_texts(read_documents(raw, names), names, [*quoted, surplus])
+    words = ("action", "datatype")  # compared as written; other text is trimmed
+    fields = fields.withColumns(
+        {
+            f"_text_{c}": text.strip_whitespace(F.col(f"_text_{c}"))
+            for c in names
+            if c not in words
+        }
     )
 
-    typed = {c: text.strip_whitespace(col(f"_text_{c}")) for c in names}
-    for word in ("action", "datatype"):  # compared as written; other text is trimmed
-        typed[word] = col(f"_text_{word}")
-    typed["study"] = F.when(col("_kind_study").isNull(), schema.DEFAULT_STUDY).otherwise(
+    typed = {c: F.col(f"_text_{c}") for c in names}
+    typed["study"] = F.when(F.col("_kind_study").isNull(), schema.DEFAULT_STUDY).otherwise(
         typed["study"]
     )
-    typed["pipeline_adcid"] = _lax_int(col("_kind_pipeline_adcid"), col("_text_pipeline_adcid"))
-    typed["timestamp"] = _lax_timestamp(col("_kind_timestamp"), col("_text_timestamp"))
+    typed["pipeline_adcid"] = _lax_int(F.col("_kind_pipeline_adcid"), typed["pipeline_adcid"])
+    typed["timestamp"] = _lax_timestamp(F.col("_kind_timestamp"), typed["timestamp"])
     rows = fields.select(
         *carried,
         "_doc",
@@ -148,6 +147,16 @@ def check_visit_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     return rows.select(*carried, *names, error_list(rules).alias("errors"))
 
 
+def _field_texts(docs: DataFrame, names: Sequence[str], others: Sequence[str]) -> DataFrame:
+    """`_doc`, and per field its JSON type `_kind_<field>` and its text `_text_<field>`."""
+    return docs.selectExpr(
+        *others,
+        "doc IS NOT NULL AS _doc",
+        *[f"schema_of_variant(doc.`{c}`) AS `_kind_{c}`" for c in names],
+        *[f"CAST(doc.`{c}` AS STRING) AS `_text_{c}`" for c in names],
+    )
+
+
 def _visit_event_rules() -> list[Rule]:
     """Rules over the typed columns and each field's JSON type `_kind_<field>`."""
     texts = [c for c in schema.LEDGER_COLUMNS if c not in ("pipeline_adcid", "timestamp")]
@@ -220,12 +229,15 @@ def check_records(
     """
     carried = [c for c in raw.columns if c != value]
     names = model.fieldNames()
-    fields = read_documents(raw, names, value).selectExpr(
-        *[f"`{c}`" for c in carried],
-        "doc IS NOT NULL AS _doc",
-        *[f"schema_of_variant(doc.`{c}`) AS `_kind_{c}`" for c in names],
-        *[f"try_variant_get(doc.`{c}`, '$', 'string') AS `_text_{c}`" for c in names],
-        *[f"doc.`{c}` AS `_raw_{c}`" for c in names],
+    quoted = [f"`{c}`" for c in carried]
+    raws = [f"doc.`{c}` AS `_raw_{c}`" for c in names]
+    fields = _field_texts(read_documents(raw, names, value), names, [*quoted, *raws])
+    fields = fields.withColumns(
+        {
+            f"_text_{f.name}": text.strip_whitespace(F.col(f"_text_{f.name}"))
+            for f in model
+            if not isinstance(f.dataType, T.StringType)
+        }
     )
     typed = [_typed_field(f).alias(f.name) for f in model]
     rows = fields.select(*carried, "_doc", *[f"_kind_{c}" for c in names], *typed)
@@ -256,7 +268,7 @@ def _typed_field(field: T.StructField) -> Column:
         return _lax_int(kind, raw, field.dataType.simpleString())
     if isinstance(field.dataType, T.FractionalType):
         as_number = F.when(kind == "BOOLEAN", raw.try_cast("boolean").cast("int").cast("string"))
-        return F.coalesce(as_number, text.strip_whitespace(raw)).try_cast(field.dataType)
+        return F.coalesce(as_number, raw).try_cast(field.dataType)
     if isinstance(field.dataType, T.BooleanType):
         return raw.try_cast("boolean")
     raise ValueError(f"{field.name}: no rule for type {field.dataType.simpleString()}")
