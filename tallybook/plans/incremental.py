@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybook import schema, session
 from tallybook.operators import filters, joins, validation
+from tallybook.sources import folders
 from tallybook.sources.ledger_store import LedgerStore
 
 # --- fixed values: run outcomes -----------------------------------------------------
@@ -21,7 +22,7 @@ OK, PARTIAL, FAILED = "ok", "partial", "failed"
 
 @dataclass(frozen=True)
 class RunResult:
-    """Outcome of a run. All frames read the staged table of the run."""
+    """Outcome of a run. All frames read the staged tables of the run."""
 
     run_id: str
     status: str
@@ -29,9 +30,21 @@ class RunResult:
     groups: DataFrame  # one row per ledger: events, new and late events, status, error
     errors: DataFrame  # source_key, errors
     late: DataFrame  # ledger rows at or before their watermark
+    staging: str  # folder of the staged tables
 
+    def keep(self, store: LedgerStore) -> None:
+        """Store the quarantined and the late rows beside the ledgers."""
+        store.set_aside("quarantine", self.errors, self.run_id)
+        store.set_aside("late", self.late, self.run_id)
 
-def split_by_watermark(events: DataFrame, marks: DataFrame) -> DataFrame:
+    def discard(self) -> None:
+        """Delete the staged tables; the frames cannot be read afterwards."""
+        folders.remove(self.counts.sparkSession, self.staging)
+
+
+def split_by_watermark(
+    events: DataFrame, marks: DataFrame, stored: bool = False
+) -> DataFrame:
     """Add `is_new`: later than the ledger's watermark, or no ledger yet.
 
     Marks hold one row per ledger; they are broadcast once counted as small, so a
@@ -40,7 +53,8 @@ def split_by_watermark(events: DataFrame, marks: DataFrame) -> DataFrame:
     marks = joins.broadcast_if_small(
         marks.select(
             F.col("study").alias("_study"), F.col("datatype").alias("_datatype"), "watermark"
-        )
+        ),
+        stored=stored,
     )
     same = (F.col("study") == F.col("_study")) & (F.col("datatype") == F.col("_datatype"))
     return (
@@ -67,11 +81,14 @@ def merge(ledger: DataFrame, new: DataFrame) -> DataFrame:
     return ledger.unionByName(new)
 
 
-def stage(spark: SparkSession, checked: DataFrame) -> DataFrame:
-    """Write checked rows once; the JSON is not parsed again by any later step."""
-    path = session.scratch_path(spark, "checked")
-    checked.write.parquet(path)
-    return spark.read.schema(checked.schema).parquet(path)
+def stage(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """Write rows once and read them back; no later step computes them again.
+
+    They are read in the given session: the rows of a stream's batch come from a
+    session of the stream's own, which may have adaptive execution switched off.
+    """
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def run_incremental(
@@ -86,21 +103,22 @@ def run_incremental(
     `marks` replaces the store's own watermarks (a stream keeps one set for all of
     its batches). Nothing is written to the store when no event is new.
     """
-    spark = raw.sparkSession
+    spark = store.spark
     run_id = run_id or uuid.uuid4().hex
+    staging = session.scratch_path(spark, "run")
     slim = raw.select("source_key", "value")
-    staged = stage(spark, validation.check_visit_events(slim, strict))
+    staged = stage(spark, validation.check_visit_events(slim, strict), f"{staging}/checked")
     valid = validation.valid_rows(staged)
     # Stored, so that the result frames keep the watermarks of this run after its append.
-    marked = stage(spark, store.marks() if marks is None else marks)
-    split = split_by_watermark(filters.drop_sandbox(valid), marked)
+    marked = stage(spark, store.marks() if marks is None else marks, f"{staging}/marks")
+    split = split_by_watermark(filters.drop_sandbox(valid), marked, stored=True)
 
     groups = split.groupBy(*schema.GROUP_KEY).agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if("is_new").alias("new_events"),
         F.count_if(~F.col("is_new")).alias("late_events"),
     )
-    groups = stage(spark, groups)
+    groups = stage(spark, groups, f"{staging}/groups")
     expected = groups.agg(F.coalesce(F.sum("new_events"), F.lit(0))).first()[0]
     fresh = split.filter("is_new").drop("is_new", "source_key")
     failures = _append(fresh, store, run_id, expected, groups)
@@ -112,6 +130,7 @@ def run_incremental(
         groups=outcome,
         errors=validation.error_rows(staged),
         late=split.filter("NOT is_new").drop("is_new", "source_key"),
+        staging=staging,
     )
 
 

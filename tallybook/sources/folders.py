@@ -33,3 +33,9 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _resolve(spark, path)
     fs.create(p, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder the library itself made; nothing happens if it is gone."""
+    fs, p = _resolve(spark, path)
+    fs.delete(p, True)

@@ -4,6 +4,7 @@ Every run adds its rows in a folder of its own, partitioned by study and datatyp
 
     <root>/events/run=<id>/by_study=<study>/by_datatype=<datatype>/*.parquet
     <root>/marks/run=<id>/*.parquet      latest timestamp and count per ledger
+    <root>/<kind>/run=<id>/*.parquet     rows set aside: quarantine, late
 
 A run counts once Spark's own success marker is in its folder, so readers never see
 part of a run and a failed run is simply repeated. Nothing that is read is ever
@@ -173,6 +174,18 @@ class LedgerStore:
         noted = self.spark.read.schema(MARKS).parquet(self._run_path("marks", run_id))
         return noted.agg(F.coalesce(F.sum("event_count"), F.lit(0))).first()[0]
 
+    def set_aside(self, kind: str, rows: DataFrame, run_id: str) -> None:
+        """Keep rows of a run that do not go into the ledgers."""
+        rows.write.mode("overwrite").parquet(self._run_path(kind, run_id))
+
+    def aside(self, kind: str) -> DataFrame | None:
+        """All rows of a kind that were set aside, with their run; None if there are none."""
+        runs = self._finished_runs(kind)
+        if not runs:
+            return None
+        reader = self.spark.read.option("basePath", f"{self.root}/{kind}")
+        return reader.parquet(*[self._run_path(kind, r) for r in runs])
+
     def rewrite(self, target_root: str, run_id: str = "rewrite") -> LedgerStore:
         """Copy all committed rows into a fresh store as one run, and check the count."""
         if folders.exists(self.spark, target_root):

@@ -72,20 +72,19 @@ def extend_ledgers(
 ) -> StreamingQuery:
     """Process everything that is there now, batch by batch, then stop.
 
-    Each batch is the store run named after it, so a replayed batch adds nothing.
-    Returns the finished query.
+    Each batch is the store run named after it, so a replayed batch adds nothing. Its
+    quarantined and late rows are kept beside the ledgers. Returns the finished query.
     """
     run = StreamMarks(store)
     marks = run.frame()
 
     def add_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = f"batch-{batch_id:09d}"
-        if store.is_committed(run_id):
-            store.append(batch.sparkSession.createDataFrame([], schema.LEDGER), run_id)
-            return
         result = run_incremental(batch, store, run_id, marks)
         if result.status != "ok":
             raise RuntimeError(f"batch {batch_id}: {result.status}")
+        result.keep(store)
+        result.discard()
 
     query = (
         raw_stream.writeStream.foreachBatch(add_batch)

@@ -319,6 +319,41 @@ def test_stream_after_a_crash_keeps_its_watermarks(spark, store, tmp_path):
     assert event_stream.StreamMarks(store).number == crashed.number + 1
 
 
+def test_stream_keeps_quarantined_and_late_rows(spark, store, tmp_path):
+    folder = tmp_path / "log"
+    write_files(folder, [doc(5)])
+    run_stream(spark, folder, store, tmp_path)
+    write_files(folder, [doc(3), doc(7, action="bad")], start=5)
+    run_stream(spark, folder, store, tmp_path)
+    assert hours(store.events()) == [5]
+    assert hours(store.aside("late")) == [3]
+    (bad,) = store.aside("quarantine").collect()
+    assert bad.errors == ["action: unknown value"] and "-6-p-x-" in bad.source_key
+    assert store.aside("nothing") is None
+
+
+def test_discard_leaves_the_ledgers(spark, store):
+    result = run_incremental(raw(spark, [doc(0), "x"]), store)
+    result.keep(store)
+    result.discard()
+    result.discard()
+    assert hours(store.events()) == [0]
+    assert store.aside("quarantine").count() == 1
+
+
+def test_stream_batches_are_merged_with_adaptive_execution(spark, store, tmp_path):
+    seen = []
+
+    class Watching(LedgerStore):
+        def append(self, rows, run_id):
+            seen.append(rows.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+            return super().append(rows, run_id)
+
+    write_files(tmp_path / "log", [doc(1)])
+    run_stream(spark, tmp_path / "log", Watching(spark, store.root), tmp_path)
+    assert seen == ["true"]
+
+
 def test_stream_lines(spark, store, tmp_path):
     (tmp_path / "log").mkdir()
     (tmp_path / "log" / "part").write_text("\n".join(json.dumps(doc(h)) for h in (1, 2)))
