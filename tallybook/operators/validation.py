@@ -17,6 +17,15 @@ from tallybook import schema
 from tallybook.functions import dates, text
 
 
+# --- fixed values: messages that reports and consumers match on -----------------
+MISSING_FIELD = "Missing required field: {field}"
+NULL_FIELD = "Required field '{field}' cannot be None"
+BLANK_FIELD = "Required field '{field}' cannot be empty"
+WRONG_TYPE = "Field '{field}' has incorrect type. Expected: {expected}, Actual: "
+RECORD_WITHOUT_ID = "Record ID is required"
+RECORD_BELOW_ZERO = "Record value must be non-negative"
+
+
 @dataclass(frozen=True)
 class Rule:
     message: str
@@ -338,12 +347,12 @@ def required_field_errors(df: DataFrame, fields: Sequence[str]) -> Column:
     rules = []
     for f in fields:
         if f not in kinds:
-            rules.append(Rule(f"Missing required field: {f}", F.lit(True)))
+            rules.append(Rule(MISSING_FIELD.format(field=f), F.lit(True)))
             continue
-        rules.append(Rule(f"Required field '{f}' cannot be None", F.col(f).isNull()))
+        rules.append(Rule(NULL_FIELD.format(field=f), F.col(f).isNull()))
         if kinds[f] == "string":
             blank = text.strip_whitespace(F.col(f)) == ""
-            rules.append(Rule(f"Required field '{f}' cannot be empty", blank))
+            rules.append(Rule(BLANK_FIELD.format(field=f), blank))
     return error_list(rules)
 
 
@@ -364,10 +373,7 @@ def json_type_errors(value: Column, expected: Mapping[str, Sequence[str]]) -> Co
             F.when(
                 wrong,
                 F.concat(
-                    F.lit(
-                        f"Field '{field}' has incorrect type. "
-                        f"Expected: {' or '.join(types)}, Actual: "
-                    ),
+                    F.lit(WRONG_TYPE.format(field=field, expected=" or ".join(types))),
                     actual,
                 ),
             )
@@ -463,9 +469,9 @@ def record_errors(id_col: Column, value_col: Column) -> Column:
     """Record rules: an id, and a value of zero or more."""
     return error_list(
         [
-            Rule("Record ID is required", id_col.isNull() | (id_col == "")),
+            Rule(RECORD_WITHOUT_ID, id_col.isNull() | (id_col == "")),
             Rule("value: field required", value_col.isNull()),
-            Rule("Record value must be non-negative", value_col < 0),
+            Rule(RECORD_BELOW_ZERO, value_col < 0),
         ]
     )
 
