@@ -32,16 +32,17 @@ def spread(scan: DataFrame) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The cluster's shared checkpoint folder, as ``spark.checkpoint.dir`` names it.
 
-    Only a session that names none (a local test) gets a folder of its own.
+    A local session that names none gets a folder of its own. On a cluster that would be
+    a different disk on each machine, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="run-tallybook-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -9,9 +9,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import SMALL
+from tallybook.catalog import registry
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = {name: fn for name, (fn, _) in registry().items()}
+SQL = {name: sql for name, (_, sql) in registry().items() if sql}
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -64,3 +65,8 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+def test_entry_points_list_the_catalog():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())
