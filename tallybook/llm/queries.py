@@ -37,3 +37,10 @@ def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.packing import pack
 
     return pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@_query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.quality_rules import apply_rules
+
+    return apply_rules(_table(spark, sf_dir, "documents"))
