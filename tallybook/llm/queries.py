@@ -44,3 +44,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.quality_rules import apply_rules
 
     return apply_rules(_table(spark, sf_dir, "documents"))
+
+
+@_query("op4_benchmark_leaks")
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.decontaminate import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
