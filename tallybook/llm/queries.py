@@ -51,3 +51,10 @@ def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.decontaminate import find_leaks
 
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query("op3_personal_data")
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.pii import find_pii
+
+    return find_pii(_table(spark, sf_dir, "documents"))
