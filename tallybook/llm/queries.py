@@ -58,3 +58,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.pii import find_pii
 
     return find_pii(_table(spark, sf_dir, "documents"))
+
+
+@_query("op1_near_duplicates")
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.near_dups import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
