@@ -366,6 +366,4 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         .groupBy(F.coalesce("label", "node").alias("label"))
         .agg(F.min("first").alias("first"))
     )
-    return kept.join(
-        per_class.select(F.col("first.id").alias(row)), row, "left_semi"
-    ).select(docs.columns)
+    return kept.join(per_class.select(F.col("first.id").alias(row)), row, "left_semi").drop(row)

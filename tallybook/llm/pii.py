@@ -130,11 +130,14 @@ def cue_values(text: Column) -> Column:
     return F.when(text.rlike(CUE), made.cast(_CUES)).otherwise(F.array().cast(_CUES))
 
 
-def scan(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """One pass over the texts: spans of each format and values after cues."""
+def scan(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """One pass over the texts: spans of each format and values after cues.
+
+    ``carry`` keeps the whole row as ``__doc``.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
-        *[F.col(c) for c in carry],
+        *[F.struct("*").alias("__doc")] * carry,
         F.col("doc_id").cast("bigint").alias("__id"),
         F.xxhash64(text).alias("__text_hash"),
         *[format_spans(text, k).alias(f"__{k}") for k in KINDS],
@@ -221,7 +224,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     ends exclusive. A null or empty text has no spans. Rows with equal ids are judged one by
     one; an empty table gives no rows. Context spans never overlap format spans.
     """
-    rows = _with_contexts(keep(scan(docs, []), "pii"))
+    rows = _with_contexts(keep(scan(docs), "pii"))
     base = F.concat(*[F.col(f"__{k}") for k in KINDS])
     return rows.select(
         F.col("__id").alias("doc_id"),
@@ -238,7 +241,7 @@ def redact(docs: DataFrame) -> DataFrame:
     Columns and rows stay; overlapping spans become one, under the kind that starts first.
     ``n_chars``, if there is one, is counted anew for changed texts.
     """
-    rows = _with_contexts(keep(scan(docs, docs.columns), "pii"))
+    rows = _with_contexts(keep(scan(docs, carry=True), "pii"))
     spans = F.sort_array(
         F.transform(
             F.concat(*[F.col(f"__{k}") for k in [*KINDS, CONTEXT]]),
@@ -246,7 +249,7 @@ def redact(docs: DataFrame) -> DataFrame:
         )
     )
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    text = F.col("text").cast("string")
+    text = F.col("__doc.text").cast("string")
 
     def step(a: Column, s: Column) -> Column:
         before = F.substring(text, a["at"] + 1, s["start"] - a["at"])
@@ -262,10 +265,9 @@ def redact(docs: DataFrame) -> DataFrame:
         spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, 1 << 30))
     )
     found = F.size(spans) > 0
-    columns = {"text": F.when(found, made).otherwise(F.col("text"))}
+    doc = F.col("__doc")
+    changed = doc.withField("text", made)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(found, F.char_length(made).cast(kind)).otherwise(
-            F.col("n_chars")
-        )
-    return rows.withColumns(columns).select(docs.columns)
+        changed = changed.withField("n_chars", F.char_length(made).cast(kind))
+    return rows.select(F.when(found, changed).otherwise(doc).alias("__doc")).select("__doc.*")

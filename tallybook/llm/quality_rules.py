@@ -71,8 +71,11 @@ RULES = [
 ]
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """Counts over each whole text; a null text counts nothing."""
+def measures(docs: DataFrame, carry: Column | None = None) -> DataFrame:
+    """Counts over each whole text, beside doc_id or what ``carry`` gives as ``doc``.
+
+    A null text counts nothing.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
 
     def only(pattern: str) -> Column:
@@ -99,8 +102,9 @@ def measures(docs: DataFrame) -> DataFrame:
         ),
     )
     insult = "(?i)\\b(?:" + "|".join(INSULTS) + ")\\b"
+    key = F.col("doc_id").cast("bigint") if carry is None else carry.alias("doc")
     return docs.select(
-        F.col("doc_id").cast("bigint"),
+        key,
         inner.alias("w"),
         counted_lines.alias("l"),
         only("#*$%&|<>").alias("n_symbols"),
@@ -115,7 +119,10 @@ def measures(docs: DataFrame) -> DataFrame:
         .cast("bigint")
         .alias("n_insults"),
     ).select(
-        "doc_id", "w.*", "l.*", "n_symbols", "n_capitals", "n_stops", "n_marks", "n_odd", "n_insults"
+        "doc_id" if carry is None else "doc",
+        "w.*",
+        "l.*",
+        *["n_symbols", "n_capitals", "n_stops", "n_marks", "n_odd", "n_insults"],
     )
 
 
@@ -195,6 +202,10 @@ def fit(voted: DataFrame, rules: list[Rule] = RULES, rounds: int = 12, prior_row
     return model
 
 
+def _failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+
 def apply_rules(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """Judge every document by the rules' posterior.
 
@@ -206,7 +217,7 @@ def apply_rules(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """
     voted = keep(votes(measures(docs), rules), "votes")
     model = fit(voted, rules)
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    failed = _failed()
     return voted.select(
         "doc_id",
         *BASE,
@@ -215,3 +226,10 @@ def apply_rules(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
         model.posterior().alias("p_good"),
         *[F.col(f"vote_{r.name}").cast("int").alias(f"vote_{r.name}") for r in rules],
     )
+
+
+def keep_good(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+    """The documents that the rules keep, with all their columns, row by row."""
+    voted = keep(votes(measures(docs, F.struct("*")), rules), "votes")
+    model = fit(voted, rules)
+    return voted.where(~_failed() & (model.posterior() >= 0.5)).select("doc.*")
