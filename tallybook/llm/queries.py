@@ -65,3 +65,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.near_dups import near_duplicates
 
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query("op7_web_archives")
+def op7_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.warc import archive_round_trip
+
+    return archive_round_trip(_table(spark, sf_dir, "pages"))
