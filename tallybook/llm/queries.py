@@ -72,3 +72,10 @@ def op7_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.warc import archive_round_trip
 
     return archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+@_query("op5_resample_quality")
+def op5_resample_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.resample import resample
+
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
