@@ -79,3 +79,10 @@ def op5_resample_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.resample import resample
 
     return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op9_lm_scores")
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.lm_score import score
+
+    return score(_table(spark, sf_dir, "documents"))
