@@ -86,3 +86,10 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.lm_score import score
 
     return score(_table(spark, sf_dir, "documents"))
+
+
+@_query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.licenses import find_licenses
+
+    return find_licenses(_table(spark, sf_dir, "documents"))
