@@ -93,3 +93,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.licenses import find_licenses
 
     return find_licenses(_table(spark, sf_dir, "documents"))
+
+
+@_query("op8_repeated_strings")
+def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.suffix_dups import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"))
