@@ -5,10 +5,12 @@ A sketch takes the three labelled shingles that a hash function orders first and
 text order; texts share it only if those shingles agree and stand in the same order. Texts
 that share a sketch are candidates; a banded alignment of their shingles decides.
 
-Texts with equal words are one node of the graph, so copies cost a count. In a bucket of few
-nodes every pair of different classes is checked. A larger one is checked against one member
-after another; nodes that fall into one class drop out, and buckets that stay mixed are split by
-a second sketch. No bucket is expanded into all pairs, and none is cut.
+Texts with equal words are one node of the graph, so copies cost a count. Buckets with the same
+members are looked at once. A bucket is dealt into blocks of about 256 nodes, and each pair of
+blocks is one group: shared shingles are counted for all its pairs by a matrix product, and
+pairs that can reach the threshold are aligned unless links of the group connect them already. So a
+group gives fewer links than it has nodes, no pairs leave it, and no bucket is cut or held in one
+task.
 """
 
 from __future__ import annotations
@@ -28,8 +30,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 24
 MINIMA = 3
-SMALL = 32  # nodes of a bucket whose pairs are all checked at once
-STARS = 3  # rounds against single members before a mixed bucket is split
+BLOCK = 256  # nodes of a bucket that meet in one group, about
+COLUMNS = 4096  # shingles multiplied at a time
 
 _TABLE = textkit.is_word_byte()
 _FACTORS = textkit.numbers(SKETCHES, 31) | np.uint64(1)
@@ -140,26 +142,85 @@ def _sequence(raw: bytes) -> np.ndarray:
     return labelled(textkit.shingles(words, np.array([0, len(words)]), SHINGLE)[0])
 
 
-def _verify(batches):
-    """Pairs whose texts align well enough."""
+def shared_counts(texts: list[np.ndarray]) -> np.ndarray:
+    """Number of labelled shingles that each two texts share."""
+    sizes = np.array([len(t) for t in texts])
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    _, column, times = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
+    often = np.flatnonzero(times > 1)
+    place = np.full(len(times), -1)
+    place[often] = np.arange(len(often))
+    at = place[column]
+    owner, at = owner[at >= 0], at[at >= 0]
+    counts = np.zeros((len(texts), len(texts)), dtype=np.float32)
+    for low in range(0, len(often), COLUMNS):
+        here = (at >= low) & (at < low + COLUMNS)
+        part = np.zeros((len(texts), min(COLUMNS, len(often) - low)), dtype=np.float32)
+        part[owner[here], at[here] - low] = 1
+        counts += part @ part.T
+    return counts
+
+
+def spanning_links(
+    nodes: list[int], blocks: list[int], texts: list[np.ndarray], least: float = SIMILARITY
+) -> list[tuple[int, int, float]]:
+    """Links that connect all texts of the group that any of its links connect.
+
+    Where there are two blocks, only pairs across them count; the others have groups of their
+    own. Sharing as many shingles in any order is necessary, so only such pairs are aligned.
+    """
+    sizes = np.array([len(t) for t in texts], dtype=np.float64)
+    counts = shared_counts(texts)
+    joint = sizes[:, None] + sizes[None, :] - counts
+    near = np.triu(counts >= least * joint - 1e-6, 1)
+    block = np.array(blocks)
+    if len(set(blocks)) > 1:
+        near &= block[:, None] != block[None, :]
+    parent = list(range(len(nodes)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    links = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+        a, b = root(i), root(j)
+        if a != b and (share := similarity(texts[i], texts[j], least)):
+            parent[a] = b
+            links.append((nodes[i], nodes[j], share))
+    return links
+
+
+def _compare(batches):
+    """Links of each group; groups arrive sorted by bucket and blocks."""
+    out: list[tuple] = []
+
+    def finish(rows: list[tuple]) -> None:
+        if len(rows) > 1:
+            nodes, blocks = [r[4] for r in rows], [r[3] for r in rows]
+            out.extend(spanning_links(nodes, blocks, [_sequence(r[5]) for r in rows]))
+
+    rows: list[tuple] = []
     for batch in batches:
-        left, right = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-        made: dict[int, np.ndarray] = {}
-        sim = np.zeros(batch.num_rows)
-        for r in range(batch.num_rows):
-            for node, column in ((left[r], "words_a"), (right[r], "words_b")):
-                if node not in made:
-                    if len(made) > 2_000:
-                        made.clear()
-                    made[node] = _sequence(batch.column(column)[r].as_py())
-                pair = made[node]
-                if column == "words_a":
-                    first = pair
-            sim[r] = similarity(first, pair)
-        ok = np.flatnonzero(sim > 0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(left[ok]), pa.array(right[ok]), pa.array(sim[ok])], ["a", "b", "similarity"]
-        )
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if rows and rows[0][:3] != row[:3]:
+                finish(rows)
+                rows = []
+            rows.append(row)
+        yield _link_batch(out)
+        out.clear()
+    finish(rows)
+    yield _link_batch(out)
+
+
+def _link_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
+    kinds = [pa.int64(), pa.int64(), pa.float64()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "b", "similarity"]
+    )
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -195,126 +256,55 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _pairs(small: DataFrame, large: DataFrame) -> DataFrame:
-    """Pairs to check: all of different classes in small buckets, the first member's in large ones."""
-    other = small.select(
-        "bucket", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b")
-    )
-    inner = small.join(other, "bucket").where("node < b and label != label_b")
-    star = large.where("node != leader and label != leader_label")
-    fits = "least(size, size_b) >= {0} * greatest(size, size_b)".format(SIMILARITY)
-    return (
-        inner.select(F.col("node").alias("a"), "b", "size", "size_b")
-        .unionAll(
-            star.select(
-                F.least("node", "leader"), F.greatest("node", "leader"), "size", "leader_size"
-            )
-        )
-        .where(fits)
-        .select("a", "b")
-        .distinct()
-    )
-
-
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes of all rows, and the class of each node that is linked to another.
 
     docs has ``id`` and ``text``. Returns (id, node) and (node, label).
     """
-    spark = docs.sparkSession
     schema = "id bigint, node bigint, size int, keys array<bigint>"
     rows = keep(map_batches(docs.select("id", "text"), partial(_sketch, column="text"), schema), "sketches")
     nodes = rows.groupBy("node").agg(
         F.min_by(F.struct("size", "keys"), "id").alias("s"), F.min("id").alias("id")
     )
-    exploded = nodes.where("s.size > 0").select(
-        "node",
-        "s.size",
-        F.col("s.keys").alias("keys"),
-        F.posexplode("s.keys").alias("sketch", "bucket"),
+    entries = keep(
+        nodes.where("s.size > 0").select("node", F.explode("s.keys").alias("bucket")), "entries"
     )
-    # Most buckets have one node; count by bucket before the members meet.
-    entries = keep(exploded.select("bucket", "node", "size", "sketch"), "entries")
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    open_ = keep(
-        entries.join(shared, "bucket").withColumn("label", F.col("node")), "buckets"
+    # Most buckets have one node, and most others have the members of another one.
+    stats = entries.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
     )
+    chosen = (
+        stats.where("n > 1")
+        .groupBy("n", "one", "two")
+        .agg(F.min("bucket").alias("bucket"))
+        .select("bucket", "n")
+    )
+    open_ = keep(entries.join(chosen, "bucket"), "buckets")
     wanted = open_.select("node").distinct().join(nodes.select("node", "id"), "node")
     texts = docs.select("id", "text").join(wanted, "id").select("node", "text")
-    words = keep(
-        map_batches(texts, partial(_words, column="text"), "node bigint, words binary").dropDuplicates(["node"]),
-        "words",
-    )
-    links, labels, step = None, None, 0
-    while True:
-        stats = open_.groupBy("bucket").agg(
-            F.count("*").alias("n"),
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.min(F.struct("node", "size", "label")).alias("lead"),
-        ).where("low < high")
-        mixed = keep(
-            open_.join(
-                stats.select(
-                    "bucket",
-                    "n",
-                    F.col("lead.node").alias("leader"),
-                    F.col("lead.size").alias("leader_size"),
-                    F.col("lead.label").alias("leader_label"),
-                ),
-                "bucket",
-            ),
-            "mixed",
-        )
-        if mixed.isEmpty():
-            break
-        large = mixed.where(F.col("n") > SMALL)
-        pairs = _pairs(mixed.where(F.col("n") <= SMALL), large)
-        left = words.select(F.col("node").alias("a"), F.col("words").alias("words_a"))
-        right = words.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
-        found = keep(
-            map_batches(
-                pairs.join(left, "a").join(right, "b").select("a", "b", "words_a", "words_b"),
-                _verify,
-                "a bigint, b bigint, similarity double",
-            ),
-            "links",
-        )
-        links = found if links is None else links.unionAll(found)
-        if not found.isEmpty():
-            labels = components(links)
-        step += 1
-        rest = large.where("node != leader").select("bucket", "node", "size", "sketch")
-        if step == STARS:
-            rest = _split(rest, rows)
-        if labels is None:
-            open_ = rest.withColumn("label", F.col("node"))
-        else:
-            now = labels.select("node", F.col("label").alias("now"))
-            open_ = rest.join(now, "node", "left").select(
-                "bucket", "node", "size", "sketch", F.coalesce("now", "node").alias("label")
-            )
-        open_ = keep(open_, "buckets")
-    if labels is None:
-        labels = spark.createDataFrame([], "node bigint, label bigint")
-    return rows.select("id", "node"), labels
-
-
-def _split(entries: DataFrame, rows: DataFrame) -> DataFrame:
-    """Buckets divided by each further sketch of their members.
-
-    A pair over the threshold shares about half of the sketches, so it meets again in the
-    division by the next one it shares.
-    """
-    keys = rows.groupBy("node").agg(F.min_by("keys", "id").alias("keys"))
-    return (
-        entries.join(keys, "node")
-        .select("bucket", "node", "size", "sketch", F.posexplode("keys").alias("next", "key"))
-        .where("next > sketch")
+    words = map_batches(texts, partial(_words, column="text"), "node bigint, words binary")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    block = F.pmod(F.xxhash64("node", F.lit(2)), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int")))
+    groups = (
+        open_.join(words, "node")
+        .withColumn("block", block)
+        .select("bucket", "block", other.alias("other"), "node", "words")
         .select(
-            F.xxhash64("bucket", "key").alias("bucket"), "node", "size", F.col("next").alias("sketch")
+            "bucket",
+            F.least("block", "other").alias("i"),
+            F.greatest("block", "other").alias("j"),
+            "block",
+            "node",
+            "words",
         )
+        .repartition("bucket", "i", "j")
+        .sortWithinPartitions("bucket", "i", "j")
     )
+    links = keep(map_batches(groups, _compare, "a bigint, b bigint, similarity double"), "links")
+    return rows.select("id", "node"), components(links)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
