@@ -140,7 +140,10 @@ def resample(
          & F.min(F.coalesce(F.col("toxic") == 0, F.lit(False)))).alias("is_target")
     )
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    joined = texts.join(judged, F.col("doc_id") == F.col("label_id"), "left").select(
+    # One strategy at every size: labels grow with the corpus, so both sides are shuffled.
+    joined = texts.join(
+        judged.hint("merge"), F.col("doc_id") == F.col("label_id"), "left"
+    ).select(
         F.coalesce("is_target", F.lit(False)).alias("is_target"), "text"
     )
     counted = map_batches(joined, _count, "bucket bigint, raw bigint, target bigint")
