@@ -199,6 +199,8 @@ def _compare(batches):
 
     def finish(rows: list[tuple]) -> None:
         if len(rows) > 1:
+            # In the order of the nodes, groups with common members give the same links.
+            rows.sort(key=lambda r: r[4])
             nodes, blocks = [r[4] for r in rows], [r[3] for r in rows]
             out.extend(spanning_links(nodes, blocks, [_sequence(r[5]) for r in rows]))
 
@@ -224,36 +226,42 @@ def _link_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Class of each linked node: the least node it is connected to.
+    """Class of each linked node: one node of those it is connected to.
 
-    Nodes take the least label around them, and then their label's label, so the rounds grow
-    with the logarithm of a chain's length.
+    In each round every node joins the least one around it, and the links are rewritten and made
+    distinct, so they shrink. Nodes are hashes, so their order is random and a long chain
+    breaks into short ones.
     """
-    both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = keep(both.distinct(), "edges")
-    labels = keep(
-        edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")),
-        "labels",
-    )
-    while True:
-        around = (
-            edges.join(labels, F.col("b") == F.col("node"))
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        stepped = labels.join(around, "node").select(
-            "node", "label", F.least("label", "near").alias("next")
+    pairs = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    edges = keep(links.select(*pairs).where("a != b").distinct(), "edges")
+    labels = None
+    while labels is None or not edges.isEmpty():
+        joined = keep(
+            edges.select(F.col("b").alias("node"), F.col("a").alias("to"))
+            .unionAll(edges.select(F.col("a").alias("node"), F.col("a").alias("to")))
+            .groupBy("node")
+            .agg(F.min("to").alias("to")),
+            "joined",
         )
-        jump = labels.select(F.col("node").alias("of"), F.col("label").alias("further"))
-        moved = keep(
-            stepped.join(jump, F.col("next") == F.col("of"), "left").select(
-                "node", "label", F.least("next", "further").alias("next")
-            ),
-            "labels",
+        edges = keep(
+            edges.join(joined.select(F.col("node").alias("a"), F.col("to").alias("to_a")), "a")
+            .join(joined.select(F.col("node").alias("b"), F.col("to").alias("to_b")), "b")
+            .where("to_a != to_b")
+            .select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
+            .distinct(),
+            "edges",
         )
-        labels = moved.select("node", F.col("next").alias("label"))
-        if moved.where("label != next").isEmpty():
-            return labels
+        if labels is None:
+            labels = joined.select("node", F.col("to").alias("label"))
+        else:
+            moved = joined.select(F.col("node").alias("label"), "to")
+            labels = keep(
+                labels.join(moved, "label", "left").select(
+                    "node", F.coalesce("to", "label").alias("label")
+                ),
+                "labels",
+            )
+    return labels
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
