@@ -328,7 +328,10 @@ def _cut(batches):
 def repeated_ranges(texts: DataFrame) -> DataFrame:
     """Ranges of repeated bytes by document; they may overlap. texts has doc_id, key, text."""
     anchors = keep(map_batches(texts, _anchors, _ANCHORS), "anchors")
-    seen = anchors.groupBy("right").agg(F.count("*").alias("n")).where("n > 1").select("right")
+    # Written first, so that the join's two sides are plain exchanges and a hot key is split.
+    seen = keep(
+        anchors.groupBy("right").agg(F.count("*").alias("n")).where("n > 1").select("right"), "seen"
+    )
     shared = keep(anchors.join(seen, "right"), "shared")
     context = ["right", "one", "two"]
     counted = keep(
