@@ -18,8 +18,8 @@ from tallybook.llm.scratch import keep, map_batches
 
 SEQUENCE = 4096
 END_ID = 2
-_STORE_WORDS = 1_500_000  # words whose ids a task remembers before it starts anew
-_BLOCK = 8 << 20  # bytes of text whose words are looked up together
+_STORE_WORDS = 1_000_000  # words whose ids a task remembers before it starts anew
+_BLOCK = 4 << 20  # bytes of text whose words are looked up together
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 PACKED = PIECES + ", sequence_id bigint, offset bigint"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -46,6 +49,24 @@ def map_batches(
     fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str,
 ) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
+    """``mapInArrow`` with this package at hand on the executors.
+
+    Spark keeps its Python workers; each gives its freed memory back after a task, so that idle
+    ones hold little.
+    """
     ship_code(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
