@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
@@ -89,8 +89,17 @@ def append_checked(df: DataFrame, path: str, codec: str = "snappy") -> None:
     write_parquet(df, path, codec, mode="append")
 
 
-def load_report(new: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write report rows over or after what is there; returns the new rows' count."""
+def load_report(
+    new: DataFrame, path: str, mode: str = "overwrite", environment: str | None = None
+) -> int:
+    """Write report rows over or after what is there; returns the new rows' count.
+
+    With an environment, ``path`` is ``root/name.parquet`` and the table goes to
+    ``root/environment/name.parquet``.
+    """
+    if environment is not None:
+        root, _, name = path.rstrip("/").rpartition("/")
+        path = report_path(root, environment, name)
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; use one of {MODES}")
     spark = new.sparkSession
@@ -132,30 +141,13 @@ def write_by_date(df: DataFrame, when: Column, path: str) -> None:
     dated.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
-@dataclass(frozen=True)
-class ReportTarget:
-    """Where a report goes: prefix/environment/suffix, the suffix naming a parquet."""
-
-    suffix: str
-    prefix: str
-    environment: str = "prod"
-
-    def __post_init__(self):
-        object.__setattr__(self, "prefix", self.prefix.rstrip("/"))
-        object.__setattr__(self, "suffix", self.suffix.rstrip("/"))
-        if not self.suffix.endswith(".parquet"):
-            raise ValueError("suffix must end in .parquet")
-        if self.environment not in ENVIRONMENTS:
-            raise ValueError(f"environment must be one of {ENVIRONMENTS}")
-
-    @property
-    def uri(self) -> str:
-        return f"{self.prefix}/{self.environment}/{self.suffix}"
-
-    @property
-    def bucket(self) -> str:
-        return self.uri.partition("/")[0]
-
-    @property
-    def key(self) -> str:
-        return self.uri.partition("/")[2]
+def report_path(root: str, environment: str, name: str) -> str:
+    """Path of a report's table below a root folder, kept apart by environment."""
+    problems = []
+    if environment not in ENVIRONMENTS:
+        problems.append(f"environment must be one of {ENVIRONMENTS}")
+    if not re.fullmatch(r"[^/].*\.parquet/*", name):
+        problems.append("name must be a relative path ending in .parquet")
+    if problems:
+        raise ValueError("; ".join(problems))
+    return "/".join(part.rstrip("/") for part in (root, environment, name))

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybook.sources.reports import FORMATS
 
-# --- fixed values: parameters each source type needs -------------------------------
-REQUIRED_PARAMS = {
-    "s3": ("bucket_name",),
-    "api": ("base_url",),
-    "database": ("host", "database"),
-    "sqs": ("queue_url",),
+class SourceType(NamedTuple):
+    """What a type of source must be told, and where that places it."""
+
+    needed: tuple[str, ...]
+    location: str
+    defaults: Mapping[str, Any] = {}
+
+
+# --- fixed values: source types, their needed parameters, locations and defaults ----
+SOURCE_TYPES = {
+    "s3": SourceType(("bucket_name",), "s3://{bucket_name}/{prefix}", {"prefix": ""}),
+    "api": SourceType(("base_url",), "{base_url}"),
+    "database": SourceType(("host", "database"), "{host}:{port}/{database}", {"port": 5432}),
+    "sqs": SourceType(("queue_url",), "{queue_url}"),
 }
-DEFAULT_DATABASE_PORT = 5432
 
 
 @dataclass(frozen=True)
@@ -30,26 +37,26 @@ class SourceSpec:
     output_format: str = "parquet"
 
     def __post_init__(self):
-        if not 1 <= len(self.name) <= 100:
-            raise ValueError("name must have 1 to 100 characters")
-        if self.type not in REQUIRED_PARAMS:
-            raise ValueError(f"unknown source type {self.type!r}")
-        if self.polling_interval is not None and self.polling_interval < 1:
-            raise ValueError("polling_interval must be at least 1")
+        if problems := list(self._problems()):
+            raise ValueError(f"source {self.name!r}: " + "; ".join(problems))
+
+    def _problems(self) -> Iterator[str]:
+        """Everything that is wrong with the declaration."""
+        if self.name == "" or len(self.name) > 100:
+            yield "the name must have 1 to 100 characters"
+        if self.polling_interval is not None and self.polling_interval <= 0:
+            yield "polling_interval must be positive"
         if self.output_format not in FORMATS:
-            raise ValueError(f"output_format must be one of {FORMATS}")
-        for param in REQUIRED_PARAMS[self.type]:
-            if param not in self.params:
-                raise ValueError(f"{self.type.upper()} source requires '{param}'")
+            yield f"output_format must be one of {FORMATS}"
+        if self.type not in SOURCE_TYPES:
+            yield f"type {self.type!r} is none of {sorted(SOURCE_TYPES)}"
+        elif missing := set(SOURCE_TYPES[self.type].needed) - set(self.params):
+            yield f"type {self.type} also needs {', '.join(sorted(missing))}"
 
     @property
     def uri(self) -> str:
-        p = self.params
-        if self.type == "s3":
-            return f"s3://{p['bucket_name']}/{p.get('prefix', '')}"
-        if self.type == "database":
-            return f"{p['host']}:{p.get('port', DEFAULT_DATABASE_PORT)}/{p['database']}"
-        return p["base_url"] if self.type == "api" else p["queue_url"]
+        kind = SOURCE_TYPES[self.type]
+        return kind.location.format_map({**kind.defaults, **self.params})
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The source as a DataFrame.

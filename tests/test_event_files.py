@@ -198,15 +198,14 @@ def test_codec_is_used(spark, tmp_path, codec):
     assert used.startswith(codec.split("_")[0])
 
 
-def test_report_target():
-    t = reports.ReportTarget("some/file.parquet/", "bucket/tables/", "dev")
-    assert (t.uri, t.bucket, t.key) == (
-        "bucket/tables/dev/some/file.parquet", "bucket", "tables/dev/some/file.parquet",
-    )
-    with pytest.raises(ValueError, match="parquet"):
-        reports.ReportTarget("file.csv", "b")
-    with pytest.raises(ValueError, match="environment"):
-        reports.ReportTarget("f.parquet", "b", "test")
+def test_report_path(spark, tmp_path):
+    path = reports.report_path("bucket/tables/", "dev", "some/file.parquet/")
+    assert path == "bucket/tables/dev/some/file.parquet"
+    for bad in (("test", "f.parquet"), ("dev", "f.csv"), ("dev", "/f.parquet")):
+        with pytest.raises(ValueError):
+            reports.report_path("b", *bad)
+    assert reports.load_report(spark.range(3), f"{tmp_path}/r.parquet", environment="dev") == 3
+    assert spark.read.parquet(f"{tmp_path}/dev/r.parquet").count() == 3
 
 
 def test_source_specs(spark, tmp_path):
@@ -218,9 +217,9 @@ def test_source_specs(spark, tmp_path):
         "q": specs.SourceSpec("n", "sqs", {"queue_url": "q"}),
     }
     assert [s.uri for s in uri.values()] == list(uri)
-    for kind, need in specs.REQUIRED_PARAMS.items():
-        with pytest.raises(ValueError, match=need[0]):
-            specs.SourceSpec("n", kind)
+    for name, kind in specs.SOURCE_TYPES.items():
+        with pytest.raises(ValueError, match=", ".join(sorted(kind.needed))):
+            specs.SourceSpec("n", name)
     for bad in ({"name": ""}, {"name": "n" * 101}, {"type": "ftp"}, {"polling_interval": 0}):
         with pytest.raises(ValueError):
             specs.SourceSpec(**{"name": "n", "type": "api", "params": {"base_url": "u"}, **bad})

@@ -118,8 +118,8 @@ def test_strip_like_python(spark, values):
 
 
 def test_column_names(spark):
-    assert text.camel_to_snake("eventTypeId2Name") == "event_type_id2_name"
-    assert text.snake_to_camel("event_type_id") == "eventTypeId"
+    assert text.styled("eventTypeId2Name", "snake") == "event_type_id2_name"
+    assert text.styled("event_type_id", "camel") == "eventTypeId"
     df = spark.range(1).select(F.lit(1).alias("aB"), F.lit(2).alias("cD"))
     assert text.rename_columns(df, "snake").columns == ["a_b", "c_d"]
     clash = spark.range(1).select(F.lit(1).alias("aB"), F.lit(2).alias("a_b"))
