@@ -284,6 +284,24 @@ def stream_equals_batch(spark, sf_dir):
     return ledger_view(store.events())
 
 
+@query(
+    "two_streams_one_store",
+    f"SELECT {_LEDGER} FROM expected_valid WHERE NOT project_label LIKE '%sandbox%'",
+    expected_valid=EXPECTED_VALID,
+)
+def two_streams_one_store(spark, sf_dir):
+    """Two landings, read by streams of their own into one store: ledger and late rows."""
+    store = _fresh_store(spark)
+    raw = raw_events(spark, sf_dir)
+    for half in (0, 1):
+        folder = session.scratch_path(spark, "landing")
+        raw.where(F.col("event_id") % 2 == half).select("value").write.text(folder)
+        stream = event_stream.read_event_stream(spark, folder, layout="lines")
+        event_stream.extend_ledgers(stream, store, session.scratch_path(spark, "stream"))
+    rows = store.events().unionByName(store.aside("late").select(*schema.LEDGER_COLUMNS))
+    return ledger_view(rows)
+
+
 @query(
     "landing_read",
     f"SELECT {_LEDGER} FROM expected_valid",

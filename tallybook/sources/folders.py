@@ -39,3 +39,9 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder the library itself made; nothing happens if it is gone."""
     fs, p = _resolve(spark, path)
     fs.delete(p, True)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _resolve(spark, source)
+    if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not rename {source} to {target}")

@@ -15,10 +15,11 @@ history to find where it stopped.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tallybook import schema
 from tallybook.operators.validation import conform
@@ -32,6 +33,7 @@ MARKS = T.StructType(
         T.StructField("event_count", T.LongType()),
     ]
 )
+_PART = "~part-"
 _BY = {"by_study": "study", "by_datatype": "datatype"}
 
 
@@ -97,10 +99,11 @@ class LedgerStore:
     def part_id(run_id: str, study: str, datatype: str) -> str:
         """Run id for one ledger of a run that is saved ledger by ledger."""
         digest = hashlib.sha256(f"{study}\0{datatype}".encode()).hexdigest()
-        return f"{run_id}.{digest[:16]}"
+        return f"{run_id}{_PART}{digest[:16]}"
 
     def committed_parts(self, run_id: str) -> list[str]:
-        return [r for r in self.committed_runs() if r.startswith(f"{run_id}.")]
+        """Parts of this run; no other run's id can look like one."""
+        return [r for r in self.committed_runs() if r.rpartition(_PART)[0] == run_id]
 
     def exists(self) -> bool:
         return bool(self.committed_runs())
@@ -124,9 +127,11 @@ class LedgerStore:
             .parquet(*[self._run_path("events", r) for r in runs])
         )
         if study is not None:
-            rows = rows.filter((F.col("by_study") == study) & (F.col("study") == study))
+            rows = rows.filter(_in_folder("by_study", study) & (F.col("study") == study))
         if datatype is not None:
-            rows = rows.filter((F.col("by_datatype") == datatype) & (F.col("datatype") == datatype))
+            rows = rows.filter(
+                _in_folder("by_datatype", datatype) & (F.col("datatype") == datatype)
+            )
         return rows.select(*schema.LEDGER_COLUMNS)
 
     def create_view(self, name: str) -> None:
@@ -151,14 +156,19 @@ class LedgerStore:
         )
 
     def append(self, rows: DataFrame, run_id: str) -> int:
-        """Add rows as one run and return how many there are; no-op if it is committed.
+        """Add rows as one run and return how many there are.
+
+        A committed run id is not written again: with the same rows, or none, nothing
+        happens; with other rows it raises, as they would be lost.
 
         Rows are rebalanced by ledger: small ledgers share tasks, and a ledger holding
         most of the rows is split over many. Each file is sorted by time, so row-group
         statistics prune time ranges.
         """
         path = self._run_path("events", run_id)
-        if not self.is_committed(run_id):
+        if self.is_committed(run_id):
+            _require_same(conform(rows), self.events(runs=[run_id]), run_id)
+        else:
             (
                 conform(rows)
                 .withColumns({by: F.col(c) for by, c in _BY.items()})
@@ -175,8 +185,12 @@ class LedgerStore:
         return noted.agg(F.coalesce(F.sum("event_count"), F.lit(0))).first()[0]
 
     def set_aside(self, kind: str, rows: DataFrame, run_id: str) -> None:
-        """Keep rows of a run that do not go into the ledgers."""
-        rows.write.mode("overwrite").parquet(self._run_path(kind, run_id))
+        """Keep rows of a run that do not go into the ledgers, under the same rule."""
+        path = self._run_path(kind, run_id)
+        if self._finished(kind, run_id):
+            _require_same(rows, self.spark.read.schema(rows.schema).parquet(path), run_id)
+        else:
+            rows.write.mode("overwrite").parquet(path)
 
     def aside(self, kind: str) -> DataFrame | None:
         """All rows of a kind that were set aside, with their run; None if there are none."""
@@ -204,21 +218,53 @@ class LedgerStore:
         """
         check_template(template)
         paths = []
-        for group in self.marks().select(*schema.GROUP_KEY).toLocalIterator():
+        for group in self.marks().toLocalIterator():
             path = f"{target_root}/{template_key(template, group.study, group.datatype)}"
-            save_ledger(self.events(group.study, group.datatype), path)
+            written = save_ledger(self.events(group.study, group.datatype), path)
+            if written != group.event_count:
+                raise RuntimeError(f"exported {written} rows of {group.event_count} to {path}")
             paths.append(path)
         return sorted(paths)
 
 
-def save_ledger(rows: DataFrame, path: str) -> None:
-    """Replace one ledger table; rows must not come from the same path.
+def save_ledger(rows: DataFrame, path: str) -> int:
+    """Replace one ledger table and return its row count.
 
-    Rows are spread without a key, so equal timestamps or copies cannot crowd one
-    task, and each file is sorted by time.
+    The new table is written and counted beside the old one, which is moved away only then, so
+    a crash leaves one of the two whole. Rows are spread without a key, so equal
+    timestamps or copies cannot crowd one task, and each file is sorted by time.
     """
-    spread = conform(rows).hint("rebalance")
-    spread.sortWithinPartitions("timestamp").write.mode("overwrite").parquet(path)
+    spark = rows.sparkSession
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    seen = Observation("ledger_rows")
+    spread = conform(rows).observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance")
+    spread.sortWithinPartitions("timestamp").write.parquet(fresh)
+    written = spark.read.schema(schema.LEDGER).parquet(fresh).count()
+    if written != seen.get["rows"]:
+        raise RuntimeError(f"{fresh} holds {written} rows of {seen.get['rows']}")
+    if folders.exists(spark, path):
+        folders.rename(spark, path, old)
+    folders.rename(spark, fresh, path)
+    folders.remove(spark, old)
+    return written
+
+
+def _in_folder(by: str, value: str) -> Column:
+    """Folder filter; an empty value is stored in the null folder."""
+    return F.col(by).isNull() if value == "" else F.col(by) == value
+
+
+def _content(rows: DataFrame) -> tuple:
+    """Count and order-free digest of rows."""
+    each = F.xxhash64(*[F.col(c).cast("string") for c in rows.columns])
+    low = F.sum(F.pmod(each, F.lit(1 << 31)))
+    return tuple(rows.agg(F.count(F.lit(1)), F.bit_xor(each), low).first())
+
+
+def _require_same(rows: DataFrame, stored: DataFrame, run_id: str) -> None:
+    new = _content(rows)
+    if new[0] and new != _content(stored.select(rows.columns)):
+        raise ValueError(f"run {run_id} is committed with other rows")
 
 
 def _marks_of(rows: DataFrame) -> DataFrame:

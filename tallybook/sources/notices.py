@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallybook.functions.text import closes_early
 from tallybook.operators.validation import json_text, json_type
 
 # --- fixed values: notice shapes and routes -----------------------------------------
@@ -27,9 +28,25 @@ CORRELATION_PATHS = (
 TASK_TYPES = ("data_processing", "notification", "cleanup")
 
 
-def _records(df: DataFrame, shape: str) -> DataFrame:
+def is_broken(notice: Column) -> Column:
+    """True unless the notice is one JSON object."""
+    alone = F.from_json(F.concat(F.lit("["), notice, F.lit("]")), "array<struct<Records: variant>>")
+    whole = (F.size(alone) == 1) & F.get(alone, F.lit(0)).isNotNull() & ~closes_early(notice)
+    return ~F.coalesce(whole, F.lit(False))
+
+
+def _records(df: DataFrame, shape: str, broken: bool = False) -> DataFrame:
+    """One row per record. With ``broken``, a notice that is no JSON object is a row of nulls;
+    an object without records gives no row."""
     others = [c for c in df.columns if c != "notice"]
-    return df.select(*others, F.inline(F.from_json("notice", shape)["Records"]))
+    records = F.from_json("notice", shape)["Records"]
+    bad = is_broken(F.col("notice"))
+    if broken:
+        blank = F.from_json(F.lit('{"Records":[{}]}'), shape)["Records"]
+        records = F.when(bad, blank).otherwise(records)
+    else:
+        records = F.when(~bad, records)
+    return df.select(*others, F.inline(records))
 
 
 def flatten_objects(df: DataFrame) -> DataFrame:
@@ -49,9 +66,12 @@ def flatten_objects(df: DataFrame) -> DataFrame:
 
 
 def flatten_messages(df: DataFrame) -> DataFrame:
-    """One row per queue message; attributes stay JSON text, '{}' when absent."""
+    """One row per queue message; attributes stay JSON text, '{}' when absent.
+
+    A notice that is no JSON object is a message without id and body, so it fails as a task.
+    """
     others = [c for c in df.columns if c != "notice"]
-    return _records(df, QUEUE_NOTICE).select(
+    return _records(df, QUEUE_NOTICE, broken=True).select(
         *others,
         F.col("messageId").alias("message_id"),
         "body",
@@ -108,7 +128,8 @@ def correlation_id(notice: Column) -> Column:
 def dispatch(df: DataFrame) -> DataFrame:
     """Decode object keys and decide what each record leads to.
 
-    A record without bucket, key or event name is an error row; it never stops the rest.
+    A record without bucket, key or event name is an error row, and so is a notice that is
+    no JSON object; neither stops the rest.
     """
     others = [c for c in df.columns if c != "notice"]
     name = F.col("eventName")
@@ -120,7 +141,7 @@ def dispatch(df: DataFrame) -> DataFrame:
         .when(name.startswith("ObjectRemoved"), "cleanup")
         .otherwise("skipped")
     )
-    return _records(df, OBJECT_NOTICE).select(
+    return _records(df, OBJECT_NOTICE, broken=True).select(
         *others,
         F.col("s3.bucket.name").alias("bucket"),
         F.coalesce(F.try_url_decode(raw_key), raw_key).alias("key"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -67,19 +69,29 @@ class StreamMarks:
         folders.touch(self.spark, f"{self.folder}/done-{self.number}")
 
 
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """A name kept in the checkpoint folder; a new or replaced checkpoint is a new stream."""
+    folder = f"{checkpoint}/stream-identity"
+    if not folders.children(spark, folder):
+        folders.touch(spark, f"{folder}/{uuid.uuid4().hex}")
+    return folders.children(spark, folder)[0]
+
+
 def extend_ledgers(
     raw_stream: DataFrame, store: LedgerStore, checkpoint: str
 ) -> StreamingQuery:
     """Process everything that is there now, batch by batch, then stop.
 
-    Each batch is the store run named after it, so a replayed batch adds nothing. Its
-    quarantined and late rows are kept beside the ledgers. Returns the finished query.
+    Each batch is the store run named after it and the stream, so a replayed batch adds
+    nothing, and streams with checkpoints of their own never share a name. Its quarantined
+    and late rows are kept beside the ledgers. Returns the finished query.
     """
     run = StreamMarks(store)
     marks = run.frame()
+    stream = stream_identity(store.spark, checkpoint)
 
     def add_batch(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"batch-{batch_id:09d}"
+        run_id = f"stream-{stream}-batch-{batch_id:09d}"
         result = run_incremental(batch, store, run_id, marks)
         if result.status != "ok":
             raise RuntimeError(f"batch {batch_id}: {result.status}")

@@ -312,7 +312,8 @@ def test_stream_after_a_crash_keeps_its_watermarks(spark, store, tmp_path):
     crashed = event_stream.StreamMarks(store)
     marks = crashed.frame()
     # the batch was saved, but the run never completed
-    run_incremental(raw(spark, [doc(9)]), store, "batch-000000000", marks)
+    stream = event_stream.stream_identity(spark, str(tmp_path / "checkpoint"))
+    run_incremental(raw(spark, [doc(9)]), store, f"stream-{stream}-batch-000000000", marks)
     write_files(folder, [doc(2)], start=5)
     run_stream(spark, folder, store, tmp_path, max_files=1)
     assert 9 in hours(store.events()) and hours(store.events()).count(9) == 1
@@ -359,3 +360,37 @@ def test_stream_lines(spark, store, tmp_path):
     (tmp_path / "log" / "part").write_text("\n".join(json.dumps(doc(h)) for h in (1, 2)))
     run_stream(spark, tmp_path / "log", store, tmp_path, layout="lines")
     assert hours(store.events()) == [1, 2]
+
+
+def test_streams_with_checkpoints_of_their_own_lose_nothing(spark, store, tmp_path):
+    for name, hour in (("a", 3), ("b", 9), ("a", 12)):
+        folder = tmp_path / f"log-{name}-{hour}"
+        write_files(folder, [doc(hour)], start=hour)
+        run_stream(spark, folder, store, tmp_path / f"{name}-{hour}")
+    assert hours(store.events()) == [3, 9, 12]
+    # a replaced checkpoint reads its folder again: nothing is added, all is kept as late
+    run_stream(spark, tmp_path / "log-b-9", store, tmp_path / "replaced")
+    assert hours(store.events()) == [3, 9, 12]
+    assert store.aside("late").count() == 1
+
+
+def test_a_committed_run_refuses_other_rows(spark, store):
+    first = ledger_frame(spark, [event(at="2024-01-15 10:00")])
+    other = ledger_frame(spark, [event(at="2024-01-15 11:00")])
+    assert store.append(first, "x") == 1
+    assert store.append(first, "x") == 1
+    assert store.append(first.limit(0), "x") == 1
+    with pytest.raises(ValueError, match="other rows"):
+        store.append(other, "x")
+    store.set_aside("late", other, "x")
+    with pytest.raises(ValueError, match="other rows"):
+        store.set_aside("late", first, "x")
+    assert store.append(other, "x.2") == 1
+    assert store.committed_parts("x") == []
+
+
+def test_an_empty_study_is_a_ledger_of_its_own(spark, store, tmp_path):
+    store.append(ledger_frame(spark, [event(study=""), event(study="adrc"), event(study="")]), "r")
+    assert store.events("").count() == 2
+    assert len(store.export(str(tmp_path / "out"), "{study}-{datatype}.parquet")) == 2
+    assert load_ledger(spark, str(tmp_path / "out" / "-form.parquet")).count() == 2
