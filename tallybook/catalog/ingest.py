@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallybook import schema, session
+from tallybook import schema
 from tallybook.catalog.base import NAME_TIME, query, table, visit_events
 from tallybook.functions import dates
 from tallybook.operators import validation
@@ -37,12 +37,18 @@ FROM (SELECT *, event_id % 40 AS kind,
 
 def raw_events(spark, sf_dir: str) -> DataFrame:
     """(event_id, event_time, source_key, value) for every event."""
-    events = session.spread(visit_events(spark, sf_dir))
+    events = visit_events(spark, sf_dir)
     rows = spark.sql(_DAMAGE, events=events)
     fields = [*schema.LEDGER_COLUMNS, "extra"]
     text = F.to_json(F.struct(*fields))
     as_text = F.regexp_replace(text, r'"pipeline_adcid":(\d+)', r'"pipeline_adcid":"$1"')
-    value = F.when(F.col("kind") == 0, "not json").when(F.col("kind") == 9, as_text)
+    # no JSON at all, junk after the object, and one bracket too many
+    broken = (
+        F.when(F.col("event_id") % 3 == 0, "not json")
+        .when(F.col("event_id") % 3 == 1, F.concat(text, F.lit("] junk")))
+        .otherwise(F.concat(text, F.lit("]")))
+    )
+    value = F.when(F.col("kind") == 0, broken).when(F.col("kind") == 9, as_text)
     return rows.select("event_id", "event_time", "source_key", value.otherwise(text).alias("value"))
 
 
@@ -207,7 +213,7 @@ _KIND = "o_orderkey % 9"
         CASE WHEN {_KIND} NOT IN (2, 5) THEN o_orderdate END AS transaction_date FROM orders""",
 )
 def transaction_records(spark, sf_dir):
-    orders = session.spread(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     kind = F.col("o_orderkey") % 9
     key = F.col("o_orderkey").cast("string")
     quoted = F.concat(F.lit('"'), key, F.lit('"'))

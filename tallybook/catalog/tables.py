@@ -257,6 +257,19 @@ def _object_notices(spark, sf_dir: str) -> DataFrame:
     return pages.select("page_id", F.to_json(F.struct(records.alias("Records"))).alias("notice"))
 
 
+def _damaged_notices(spark, sf_dir: str) -> DataFrame:
+    """The same, every seventh notice cut short, followed by junk or closed once too often."""
+    notice = F.col("notice")
+    damaged = (
+        F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("{broken"), notice))
+        .when(F.col("page_id") % 3 == 1, F.concat(notice, F.lit("] junk")))
+        .otherwise(F.concat(notice, F.lit("]")))
+    )
+    return _object_notices(spark, sf_dir).withColumn(
+        "notice", F.when(F.col("page_id") % 7 == 0, damaged).otherwise(notice)
+    )
+
+
 _OTHER = """CASE page_id % 3 WHEN 0 THEN 'ObjectRemoved:Delete' WHEN 1 THEN 'ObjectRestore:Post' END"""
 
 
@@ -273,27 +286,31 @@ def flatten_object_notices(spark, sf_dir):
 
 @query(
     "dispatch_records",
-    f"""SELECT page_id, 'web' AS bucket, CONCAT('raw/page ', page_id, ' copy.html') AS key,
+    f"""SELECT page_id, NULL AS bucket, NULL AS key, NULL AS event_name, 'error' AS outcome
+        FROM pages WHERE page_id % 7 = 0 UNION ALL
+        SELECT page_id, 'web' AS bucket, CONCAT('raw/page ', page_id, ' copy.html') AS key,
           name AS event_name, CASE WHEN name IS NULL THEN 'error'
             WHEN name LIKE 'ObjectCreated%' THEN 'processed'
             WHEN name LIKE 'ObjectRemoved%' THEN 'cleanup' ELSE 'skipped' END AS outcome
         FROM (SELECT page_id, 'ObjectCreated:Put' AS name FROM pages
-              UNION ALL SELECT page_id, {_OTHER} FROM pages) t""",
+              UNION ALL SELECT page_id, {_OTHER} FROM pages) t WHERE page_id % 7 <> 0""",
 )
 def dispatch_records(spark, sf_dir):
-    return notices.dispatch(_object_notices(spark, sf_dir))
+    return notices.dispatch(_damaged_notices(spark, sf_dir))
 
 
 @query(
     "dispatch_outcomes",
     f"""SELECT outcome, COUNT(*) AS records FROM (
-          SELECT 'processed' AS outcome FROM pages
+          SELECT 'error' AS outcome FROM pages WHERE page_id % 7 = 0
+          UNION ALL SELECT 'processed' FROM pages WHERE page_id % 7 <> 0
           UNION ALL SELECT CASE WHEN {_OTHER} IS NULL THEN 'error'
-            WHEN {_OTHER} LIKE 'ObjectRemoved%' THEN 'cleanup' ELSE 'skipped' END FROM pages) t
+            WHEN {_OTHER} LIKE 'ObjectRemoved%' THEN 'cleanup' ELSE 'skipped' END
+            FROM pages WHERE page_id % 7 <> 0) t
         GROUP BY outcome""",
 )
 def dispatch_outcomes(spark, sf_dir):
-    return notices.dispatch_counts(_object_notices(spark, sf_dir))
+    return notices.dispatch_counts(_damaged_notices(spark, sf_dir))
 
 
 def _queue_notices(spark, sf_dir: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallybook import session
 from tallybook.catalog.base import query, table, visit_events
 from tallybook.functions import dates, text
 
@@ -15,7 +14,7 @@ for _name, _pattern in text.MASK_PATTERNS.items():
 
 @query("pii_redact", f"SELECT doc_id, {_MASKED} AS text FROM documents")
 def pii_redact(spark, sf_dir):
-    docs = session.spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", text.mask(F.col("text")).alias("text"))
 
 
@@ -32,7 +31,7 @@ def pii_redact(spark, sf_dir):
 )
 def pii_hits(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("source", "text")
-    return text.mask_hits(session.spread(docs), "text", ["source"])
+    return text.mask_hits(docs, "text", ["source"])
 
 
 @query(
@@ -41,7 +40,7 @@ def pii_hits(spark, sf_dir):
         ' ', 'g')) AS text FROM documents""",
 )
 def normalise_text(spark, sf_dir):
-    docs = session.spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", text.collapse_whitespace(F.col("text")).alias("text"))
 
 
@@ -96,7 +95,7 @@ def rename_columns(spark, sf_dir):
               lambda s: CAST(s AS DOUBLE)) AS n FROM documents) t""",
 )
 def extract_numbers(spark, sf_dir):
-    docs = session.spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     found = docs.select("doc_id", text.numbers_in(F.col("text")).alias("n"))
     return found.select(
         "doc_id",
@@ -132,14 +131,20 @@ def size_text(spark, sf_dir):
 
 @query(
     "safe_json",
-    """SELECT event_id, CASE WHEN event_type = 'error' THEN -1
+    """SELECT event_id, CASE WHEN event_type = 'error' OR event_id % 11 < 3 THEN -1
        ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events""",
 )
 def safe_json(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     damaged = F.when(
         F.col("event_type") == "error", F.concat(F.lit("oops "), "props")
-    ).otherwise(F.col("props"))
+    ).otherwise(
+        # closed once too often, with junk, and with a second value
+        F.when(F.col("event_id") % 11 == 0, F.concat("props", F.lit("]")))
+        .when(F.col("event_id") % 11 == 1, F.concat("props", F.lit("}] junk")))
+        .when(F.col("event_id") % 11 == 2, F.concat("props", F.lit("] [1]")))
+        .otherwise(F.col("props"))
+    )
     default = F.struct(F.lit(-1).cast("bigint").alias("k"))
     return events.select(
         "event_id", text.parse_json_or(damaged, default, "k: bigint")["k"].alias("k")

@@ -1,4 +1,4 @@
-"""Join helpers that keep broadcasts bounded."""
+"""Join helpers that leave the strategy to measured sizes."""
 
 from __future__ import annotations
 
@@ -6,27 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-MAX_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, stored: bool = False
-) -> DataFrame:
-    """Mark a side for broadcast only after counting that it is small.
-
-    The count stops at max_rows + 1. A larger side is returned as it is and joins by
-    shuffle, where adaptive execution splits skewed keys. A side that is not a plain
-    scan of a `stored` table is kept in the cache, so the count does not compute it
-    a second time.
-    """
-    side = df if stored else df.persist()
-    if side.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(side)
-    if not stored:
-        side.unpersist()
-    return df
-
-
 def null_safe_semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left rows whose key is on the right, NULL being equal to NULL.
 

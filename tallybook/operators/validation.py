@@ -72,9 +72,10 @@ def read_documents(df: DataFrame, fields: Sequence[str], value: str = "value") -
     parsed = f"from_json(concat('[', `{value}`, ']'), 'array<struct<{doc_type}>>', map({options}))"
     once = (
         f"inline(transform(array({parsed}), d -> named_struct("
-        "'doc', CASE WHEN size(d) = 1 THEN get(d, 0) END)))"
+        "'doc', CASE WHEN size(d) = 1 AND NOT __early THEN get(d, 0) END)))"
     )
-    return df.select("*", F.expr(once)).withColumn(
+    df = df.withColumn("__early", text.closes_early(F.col(value)))
+    return df.select("*", F.expr(once)).drop("__early").withColumn(
         "doc_keys", F.when(F.col("doc").isNotNull(), F.json_object_keys(F.col(value)))
     )
 

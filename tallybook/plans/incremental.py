@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallybook import schema, session
-from tallybook.operators import filters, joins, validation
+from tallybook.operators import filters, validation
 from tallybook.sources import folders
 from tallybook.sources.ledger_store import LedgerStore
 
@@ -42,19 +42,14 @@ class RunResult:
         folders.remove(self.counts.sparkSession, self.staging)
 
 
-def split_by_watermark(
-    events: DataFrame, marks: DataFrame, stored: bool = False
-) -> DataFrame:
+def split_by_watermark(events: DataFrame, marks: DataFrame) -> DataFrame:
     """Add `is_new`: later than the ledger's watermark, or no ledger yet.
 
-    Marks hold one row per ledger; they are broadcast once counted as small, so a
-    ledger with most of the events is never gathered by a shuffle on its key.
+    Marks hold one row per ledger. Spark broadcasts them where their measured size allows
+    it, else adaptive execution splits a ledger that holds most of the events.
     """
-    marks = joins.broadcast_if_small(
-        marks.select(
-            F.col("study").alias("_study"), F.col("datatype").alias("_datatype"), "watermark"
-        ),
-        stored=stored,
+    marks = marks.select(
+        F.col("study").alias("_study"), F.col("datatype").alias("_datatype"), "watermark"
     )
     same = (F.col("study") == F.col("_study")) & (F.col("datatype") == F.col("_datatype"))
     return (
@@ -111,7 +106,7 @@ def run_incremental(
     valid = validation.valid_rows(staged)
     # Stored, so that the result frames keep the watermarks of this run after its append.
     marked = stage(spark, store.marks() if marks is None else marks, f"{staging}/marks")
-    split = split_by_watermark(filters.drop_sandbox(valid), marked, stored=True)
+    split = split_by_watermark(filters.drop_sandbox(valid), marked)
 
     groups = split.groupBy(*schema.GROUP_KEY).agg(
         F.count(F.lit(1)).alias("events"),

@@ -8,7 +8,7 @@ import __spark_entry__ as entry_points
 from conftest import SMALL
 from tallybook import session
 from tallybook.catalog.base import visit_events
-from tallybook.operators import filters, joins, visits
+from tallybook.operators import filters, visits
 from tallybook.plans import incremental
 from tallybook.operators import counts
 from tallybook.sources.ledger_store import LedgerStore
@@ -56,11 +56,19 @@ def test_watermark_join_does_not_shuffle_events(ledger):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-def test_large_sides_are_not_broadcast(spark):
-    big = joins.broadcast_if_small(spark.range(20), max_rows=10)
-    assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
-    small = joins.broadcast_if_small(spark.range(5), max_rows=10)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
+def test_watermark_plans_run_and_cache_nothing(spark, ledger):
+    events = ledger.events()
+    marks = counts.watermarks(events)
+    tracker, group = spark.sparkContext.statusTracker(), "watermark-plans"
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        incremental.new_events(events, marks)
+        incremental.late_events(events, marks)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not tracker.getJobIdsForGroup(group)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
 
 
 @pytest.mark.parametrize(
