@@ -100,10 +100,10 @@ def csv_append(spark, sf_dir):
     return spark.read.parquet(target)
 
 
-@query("json_roundtrip", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("json_roundtrip", "SELECT * FROM events")
 def json_roundtrip(spark, sf_dir):
     path = session.scratch_path(spark, "json")
-    events = table(spark, sf_dir, "events").drop("ts")
+    events = table(spark, sf_dir, "events")
     reports.write_format(events, path, "json")
     return reports.read_json(spark, path, events.schema, multi_line=False)
 
@@ -143,13 +143,13 @@ def append_checked(spark, sf_dir):
 
 @query(
     "date_partitioned_sink",
-    """SELECT event_id, user_id, event_type, strftime(ts, '%Y') AS year,
+    """SELECT *, strftime(ts, '%Y') AS year,
        strftime(ts, '%m') AS month, strftime(ts, '%d') AS day FROM events""",
 )
 def date_partitioned_sink(spark, sf_dir):
     path = session.scratch_path(spark, "by-date")
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    events = table(spark, sf_dir, "events")
     reports.write_by_date(events, F.col("ts"), path)
-    stored = "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz"
-    written = spark.read.schema(f"{stored}, year string, month string, day string").parquet(path)
-    return written.drop("ts")
+    parts = "year string, month string, day string"
+    declared = ", ".join(f"`{c}` {kind}" for c, kind in events.dtypes)
+    return spark.read.schema(f"{declared}, {parts}").parquet(path)

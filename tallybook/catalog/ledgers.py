@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallybook import schema, session
@@ -47,25 +49,43 @@ def ledger_empty(spark, sf_dir):
     return counts.group_counts(incremental.merge(missing, new))
 
 
-@query("partitioned_sink", _PRODUCTION + " AND study = 'dvcid' AND datatype = 'form'")
+# Every ninth event is of a study without a name, which is a ledger as any other.
+_NAMED = f"""SELECT * REPLACE (CASE WHEN EXTRACT(DAY FROM timestamp) % 9 = 0 THEN '' ELSE study END
+ AS study) FROM ({_PRODUCTION}) q"""
+
+
+def _named(spark, sf_dir) -> DataFrame:
+    unnamed = F.dayofmonth("timestamp") % 9 == 0
+    return _production(spark, sf_dir).withColumn(
+        "study", F.when(unnamed, "").otherwise(F.col("study"))
+    )
+
+
+@query("partitioned_sink", f"SELECT study AS ledger, {_LEDGER} FROM ({_NAMED}) p")
 def partitioned_sink(spark, sf_dir):
+    """Every ledger of a store, each read by its own pruned filter."""
     store = _fresh_store(spark)
-    store.append(_production(spark, sf_dir), "first")
-    return ledger_view(store.events("dvcid", "form"))
+    store.append(_named(spark, sf_dir), "first")
+    ledgers = [
+        store.events(g.study, g.datatype).withColumn("ledger", F.lit(g.study))
+        for g in store.marks().collect()
+    ]
+    return ledger_view(functools.reduce(DataFrame.unionByName, ledgers), "ledger")
 
 
 @query(
     "template_sink",
-    f"SELECT 'dicom' AS folder, {_LEDGER} FROM ({_PRODUCTION}) p WHERE datatype = 'dicom'",
+    f"SELECT datatype AS folder, {_LEDGER} FROM ({_NAMED}) p",
 )
 def template_sink(spark, sf_dir):
+    """Every ledger, exported to its template path and read back."""
     store = _fresh_store(spark)
-    store.append(_production(spark, sf_dir), "first")
+    store.append(_named(spark, sf_dir), "first")
     target = session.scratch_path(spark, "exported")
-    paths = store.export(target, "{datatype}/{study}/events.parquet")
-    dicom = [p for p in paths if "/dicom/" in p]
-    rows = spark.read.parquet(*dicom)
-    return ledger_view(rows.withColumn("folder", F.lit("dicom")), "folder")
+    paths = store.export(target, "{datatype}/of-{study}/events.parquet")
+    folder = F.regexp_extract(F.input_file_name(), "/(form|dicom)/of-[^/]*/events.parquet/", 1)
+    rows = spark.read.parquet(*paths).withColumn("folder", folder)
+    return ledger_view(rows, "folder")
 
 
 @query(

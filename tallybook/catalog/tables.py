@@ -108,14 +108,10 @@ def run_error_rows(spark, sf_dir):
 
 # --- quality -----------------------------------------------------------------------------
 
-_NULL_COLUMNS = {
-    "action": "string",
-    "visit_number": "string",
-    "module": "string",
-    "packet": "string",
-    "pipeline_adcid": "int",
-    "timestamp": "timestamp_ntz",
-}
+_NULL_COLUMNS = dict.fromkeys(
+    ["action", "study", "project_label", "center_label", "gear_name", "ptid", "visit_date",
+     "visit_number", "datatype", "module", "packet"], "string",
+) | {"event_id": "bigint", "pipeline_adcid": "int", "timestamp": "timestamp_ntz"}
 
 
 @query(
@@ -129,20 +125,19 @@ _NULL_COLUMNS = {
     ),
 )
 def null_report(spark, sf_dir):
-    return quality.null_report(visit_events(spark, sf_dir).select(*_NULL_COLUMNS))
-
-
-_DUP = "ptid, visit_date, action, module, packet"
+    return quality.null_report(visit_events(spark, sf_dir))
 
 
 @query(
     "duplicate_rows",
-    f"""SELECT CAST(SUM(n) AS BIGINT) AS total_rows,
+    """SELECT CAST(SUM(n) AS BIGINT) AS total_rows,
         CAST(COALESCE(SUM(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicate_rows
-        FROM (SELECT COUNT(*) AS n FROM visit_events GROUP BY {_DUP}) t""",
+        FROM (SELECT v.*, COUNT(*) AS n FROM (SELECT * FROM visit_events UNION ALL
+              SELECT * FROM visit_events WHERE event_id % 10 = 3) v GROUP BY ALL) t""",
 )
 def duplicate_rows(spark, sf_dir):
-    return quality.duplicate_rows(visit_events(spark, sf_dir).select(*_DUP.split(", ")))
+    events = visit_events(spark, sf_dir)
+    return quality.duplicate_rows(events.unionAll(events.where("event_id % 10 = 3")))
 
 
 def _raw_customers(spark, sf_dir: str) -> DataFrame:
@@ -342,7 +337,7 @@ def _queue_notices(spark, sf_dir: str) -> DataFrame:
 
 
 _TASKS = """
-SELECT CONCAT(conv_id, '-', turn) AS message_id, turn, role,
+SELECT CONCAT(conv_id, '-', turn) AS message_id, turn, role, length(text) AS chars,
  CASE turn % 3 WHEN 0 THEN 'data_processing' WHEN 1 THEN 'cleanup' ELSE role END AS kind
 FROM conversations"""
 
@@ -351,13 +346,16 @@ FROM conversations"""
     "flatten_queue_messages",
     """SELECT message_id, CASE WHEN role = 'user' THEN '{"sender":"user"}' ELSE '{}' END
        AS attributes, CONCAT('r-', message_id) AS receipt_handle,
-       CASE WHEN turn = 4 THEN '{broken' ELSE kind END AS body_kind FROM tasks""",
+       CASE WHEN turn = 4 THEN '{broken' ELSE CONCAT('{"task_id":"', message_id,
+         '","task_type":"', kind, '","data":{', CASE WHEN chars IS NULL THEN ''
+         ELSE CONCAT('"chars":', chars) END, '}', CASE WHEN role = 'user' THEN ',"priority":5'
+         ELSE '' END, '}') END AS body FROM tasks""",
     tasks=_TASKS,
 )
 def flatten_queue_messages(spark, sf_dir):
-    flat = notices.flatten_messages(_queue_notices(spark, sf_dir))
-    kind = F.coalesce(F.get_json_object("body", "$.task_type"), F.col("body"))
-    return flat.select("message_id", "attributes", "receipt_handle", kind.alias("body_kind"))
+    return notices.flatten_messages(_queue_notices(spark, sf_dir)).select(
+        "message_id", "attributes", "receipt_handle", "body"
+    )
 
 
 @query(

@@ -16,6 +16,7 @@ FORMATS = ("parquet", "json", "csv")
 MODES = ("overwrite", "append")
 ENVIRONMENTS = ("dev", "staging", "prod")
 
+_MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _SPARK_CODEC = {"lz4": "lz4_raw"}
 
 
@@ -119,6 +120,9 @@ def write_format(df: DataFrame, path: str, fmt: str) -> None:
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; use one of {FORMATS}")
     writer = df.write.mode("overwrite").format(fmt)
+    if fmt != "parquet":  # text keeps milliseconds only, unless told
+        writer = writer.option("timestampFormat", f"{_MICROSECONDS}XXX")
+        writer = writer.option("timestampNTZFormat", _MICROSECONDS)
     if fmt == "csv":
         writer = writer.option("header", "true").option("escape", '"')
     writer.save(path)
