@@ -140,12 +140,14 @@ def read_event_files(
     layout: str = "objects",
     pattern: str | None = schema.EVENT_FILE_PATTERN,
     named_from: datetime | None = None,
+    with_empty: bool = True,
 ) -> DataFrame:
     """Raw (source_key, value) rows of an event log.
 
     The pattern and `named_from` act on file metadata, so files they exclude are
     dropped while planning and never opened. `named_from` keeps names at or after
-    that second.
+    that second. One-object files of zero bytes are rows with empty text, which no rule
+    takes; `with_empty=False` saves their listing.
     """
     if layout == "objects":
         reader = spark.read.option("wholetext", "true")
@@ -158,23 +160,35 @@ def read_event_files(
     if pattern is not None:
         rows = rows.filter(name_matches(key, pattern))
     if named_from is not None:
-        stamp = F.regexp_extract(F.col("_metadata.file_name"), r"-(\d{8}-\d{6})-", 1)
-        rows = rows.filter(stamp >= named_from.strftime("%Y%m%d-%H%M%S"))
-    return rows.select(key.alias("source_key"), "value")
+        rows = rows.filter(_named_since(F.col("_metadata.file_name"), named_from))
+    rows = rows.select(key.alias("source_key"), "value")
+    if layout == "lines" or not with_empty:
+        return rows
+    empty = empty_event_files(spark, path, pattern)
+    if named_from is not None:
+        empty = empty.filter(_named_since(F.col("source_key"), named_from))
+    return rows.unionAll(empty)
+
+
+def _named_since(name: Column, moment: datetime) -> Column:
+    stamp = F.regexp_extract(name, r"-(\d{8}-\d{6})-[^/]*\z", 1)
+    return stamp >= moment.strftime("%Y%m%d-%H%M%S")
 
 
 def empty_event_files(
-    spark: SparkSession, path: str, pattern: str = schema.EVENT_FILE_PATTERN
+    spark: SparkSession, path: str, pattern: str | None = schema.EVENT_FILE_PATTERN
 ) -> DataFrame:
     """Raw rows, with empty text, for event files of zero bytes.
 
     Spark's scans skip such files silently; here they are what the file index lists
-    and the scan does not return.
+    and the scan does not return. The driver holds that index, as Spark itself does; a log
+    too long to list belongs in the lines layout.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    indexed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").select(
-        _plain_path(F.col("path")).alias("source_key")
-    )
+    index = spark.createDataFrame([(f,) for f in files.inputFiles()], "value string")
+    indexed = index.select(_plain_path(F.col("value")).alias("source_key"))
+    if pattern is not None:
+        indexed = select_event_files(indexed, pattern=pattern)
     found = list_files(spark, path).select("source_key")
-    missing = select_event_files(indexed, pattern=pattern).join(found, "source_key", "left_anti")
+    missing = indexed.join(found, "source_key", "left_anti")
     return missing.select("source_key", F.lit("").alias("value"))

@@ -26,6 +26,8 @@ CORRELATION_PATHS = (
     "$.correlationId",
 )
 TASK_TYPES = ("data_processing", "notification", "cleanup")
+BAD_TASK = "Invalid task format"
+UNKNOWN_TASK = "Unknown task type: "
 
 
 def is_broken(notice: Column) -> Column:
@@ -173,8 +175,8 @@ def run_tasks(messages: DataFrame) -> DataFrame:
         & (field("priority").isNull() | priority.isNotNull())
     )
     task_type = json_text(field("task_type"))
-    error = F.when(~well_formed, F.lit("Invalid task format")).when(
-        ~task_type.isin(*TASK_TYPES), F.concat(F.lit("Unknown task type: "), task_type)
+    error = F.when(~well_formed, F.lit(BAD_TASK)).when(
+        ~task_type.isin(*TASK_TYPES), F.concat(F.lit(UNKNOWN_TASK), task_type)
     )
     return messages.withColumns(
         {

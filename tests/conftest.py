@@ -65,6 +65,7 @@ def ledger_frame(spark, rows):
     return df.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
 
 
+# --- fixed values: three small ledgers with known report results ----------------
 BASIC = [
     event(),
     event("pass-qc", at="2024-01-15 11:00"),
