@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+import time
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -14,6 +15,9 @@ _PATTERN = schema.EVENT_FILE_PATTERN
 _SELECTED = f"SELECT * FROM listing WHERE regexp_matches(source_key, '{_PATTERN}')"
 
 
+_MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 @query("src_filename_select", _SELECTED)
 def src_filename_select(spark, sf_dir):
     return event_files.select_event_files(listing(spark, sf_dir), prefix="prod/")
@@ -108,6 +112,25 @@ def json_roundtrip(spark, sf_dir):
     return reports.read_json(spark, path, events.schema, multi_line=False)
 
 
+@query(
+    "json_since",
+    "SELECT * FROM events WHERE event_id % 2 = 1",
+)
+def json_since(spark, sf_dir):
+    """JSON payloads landed in two steps; the second load opens only the newer files."""
+    path = session.scratch_path(spark, "payloads")
+    events = table(spark, sf_dir, "events")
+    events.where("event_id % 2 = 0").write.option("timestampNTZFormat", _MICROSECONDS).json(path)
+    modified = F.max("_metadata.file_modification_time")
+    last = spark.read.format("binaryFile").load(path).agg(modified).first()[0]
+    time.sleep(1.1)  # file times may be whole seconds
+    events.where("event_id % 2 = 1").write.mode("append").option(
+        "timestampNTZFormat", _MICROSECONDS
+    ).json(path)
+    since = last + timedelta(milliseconds=1)
+    return reports.read_json_since(spark, path, events.schema, since, multi_line=False)
+
+
 @query("format_roundtrip", "SELECT * FROM supplier")
 def format_roundtrip(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier")

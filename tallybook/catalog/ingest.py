@@ -257,6 +257,14 @@ def batch_validation(spark, sf_dir):
     return validation.batch_summary(_checked_records(spark, sf_dir))
 
 
+@query("batch_errors", f"SELECT event_id AS index, errors FROM ({_EXPECTED_ERRORS}) e")
+def batch_errors(spark, sf_dir):
+    """Invalid records with their index and messages."""
+    checked = validation.check_visit_events(raw_events(spark, sf_dir))
+    found = validation.batch_errors(checked, "event_id")
+    return found.withColumn("errors", F.array_join("errors", "; "))
+
+
 @query(
     "batch_fail_fast",
     """SELECT c_custkey, c_acctbal < -990 AS failed FROM customer WHERE c_custkey <= COALESCE(

@@ -33,6 +33,30 @@ def runs(spark, sf_dir: str) -> DataFrame:
     return spark.sql(sql, events=visit_events(spark, sf_dir))
 
 
+@query(
+    "run_checks",
+    """SELECT study, day, CASE
+         WHEN EXTRACT(DAY FROM CAST(day AS DATE)) % 3 = 0 AND end_time > start_time
+           THEN 'end_time must be after start_time; records_failed must not be negative'
+         WHEN EXTRACT(DAY FROM CAST(day AS DATE)) % 3 = 0
+           THEN 'records_failed must not be negative' ELSE '' END AS errors FROM runs""",
+    runs=_SQL_RUNS,
+)
+def run_checks(spark, sf_dir):
+    """Rule messages of runs, every third day's with its times swapped and a count below 0."""
+    third = F.dayofmonth(F.col("day").cast("date")) % 3 == 0
+    swapped = runs(spark, sf_dir).withColumns(
+        {
+            "start_time": F.when(third, F.col("end_time")).otherwise(F.col("start_time")),
+            "end_time": F.when(third, F.col("start_time")).otherwise(F.col("end_time")),
+            "records_failed": F.when(third, -1).otherwise(F.col("records_failed")),
+        }
+    )
+    return swapped.select(
+        "study", "day", F.array_join(metrics.run_errors(), "; ").alias("errors")
+    )
+
+
 @query(
     "run_metrics",
     """SELECT study, day, seconds AS duration_seconds, records_processed + records_failed

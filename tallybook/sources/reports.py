@@ -47,13 +47,17 @@ def read_json(spark: SparkSession, path: str, declared=None, multi_line: bool =
 
 
 def read_json_since(
-    spark: SparkSession, path: str, declared: T.StructType | str, since: datetime | None = None
+    spark: SparkSession,
+    path: str,
+    declared: T.StructType | str,
+    since: datetime | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """JSON files modified at or after a time; older files are not opened.
 
     The schema is declared, because inference would open every file.
     """
-    rows = read_json(spark, path, declared)
+    rows = read_json(spark, path, declared, multi_line)
     if since is None:
         return rows
     changed = F.col("_metadata.file_modification_time")
