@@ -6,7 +6,9 @@ the power of the number of rules), and expectation-maximisation runs over that s
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -146,11 +148,17 @@ class Model:
 
     def posterior(self) -> Column:
         """Probability that a document is good, given its votes; abstentions say nothing."""
-        odds = F.lit(math.log(self.prior / (1 - self.prior)))
+        # The weights are one array that rows index by their votes. The plan's code is then the
+        # same in every round and compiled once; numbers in the code would make each round new.
+        weights, places = [], []
         for name in self.good:
+            good, bad = (math.log(self.good[name][v] / self.bad[name][v]) for v in (GOOD, BAD))
             vote = F.col(f"vote_{name}")
-            good, bad = (F.lit(math.log(self.good[name][v] / self.bad[name][v])) for v in (GOOD, BAD))
-            odds = odds + F.when(vote == GOOD, good).when(vote == BAD, bad).otherwise(0.0)
+            places.append(F.when(vote == GOOD, 1).when(vote == BAD, 2).otherwise(0) + len(weights))
+            weights += [0.0, good, bad]
+        weights[:3] = [w + math.log(self.prior / (1 - self.prior)) for w in weights[:3]]
+        table = F.array(*[F.lit(float(w)) for w in weights])
+        odds = functools.reduce(operator.add, [F.get(table, place) for place in places])
         return 1 / (1 + F.exp(-odds))
 
 
