@@ -67,7 +67,36 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-@_query("op7_web_archives")
+# Five hexadecimal digits are four symbols of base 32.
+_OP7_SQL = """
+WITH p AS (
+  SELECT page_id, COALESCE(html, '') AS html, COALESCE(url, '') AS url FROM pages
+), q AS (
+  SELECT page_id, html, sha1(html) AS hex, MAX(page_id) OVER (PARTITION BY html) AS original,
+   CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE url END AS rest
+  FROM p
+), r AS (
+  SELECT *, regexp_extract(rest, '^[^/?#]*') AS head,
+   regexp_replace(lower(regexp_extract(rest, '^[^/?#]*')), '^.*@', '') AS host FROM q
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+ array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+   1 + CAST((CAST(CONCAT('0x', substr(hex, CAST(5 * (i // 4) + 1 AS INT), 5)) AS BIGINT)
+     // (CASE i % 4 WHEN 0 THEN 32768 WHEN 1 THEN 1024 WHEN 2 THEN 32 ELSE 1 END)) % 32 AS INT),
+   1)), '') AS payload_digest,
+ CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id <> original THEN original END AS refers_to,
+ CONCAT(array_to_string(list_reverse(string_split(split_part(host, ':', 1), '.')), ','),
+   substr(host, length(split_part(host, ':', 1)) + 1), ')',
+   CASE WHEN length(rest) > length(head) THEN substr(rest, length(head) + 1) ELSE '/' END)
+   AS url_key,
+ strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id % 315360000), '%Y-%m-%dT%H:%M:%SZ')
+   AS captured_at
+FROM r
+"""
+
+
+@_query("op7_web_archives", _OP7_SQL)
 def op7_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.warc import archive_round_trip
 

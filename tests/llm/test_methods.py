@@ -379,6 +379,16 @@ def test_archives_query(run, spark):
     assert keys == sorted(keys)
 
 
+def test_archives_query_against_sql(run):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SMALL}/pages.parquet'")
+    want = con.sql(queries.registry()["op7_web_archives"][1])
+    rows = run("op7_web_archives")
+    assert want.columns == list(rows[0].__fields__)
+    assert sorted(want.fetchall()) == sorted(map(tuple, rows))
+
+
 def repeats_by_brute_force(texts, n):
     times = Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))
     out = []
