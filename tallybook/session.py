@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from tallybook.sources import folders
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Runtime settings the library relies on; timestamps mean UTC everywhere."""
@@ -34,6 +36,15 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tallybook/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nobody has used yet."""
-    return f"{scratch_root(spark)}/tallybook/{label}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's staged tables; frames that read them end here."""
+    folders.remove(spark, _own_scratch(spark))

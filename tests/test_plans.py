@@ -8,9 +8,9 @@ import __spark_entry__ as entry_points
 from conftest import SMALL
 from tallybook import session
 from tallybook.catalog.base import visit_events
-from tallybook.operators import filters, visits
+from tallybook.operators import counts, filters, visits
 from tallybook.plans import incremental
-from tallybook.operators import counts
+from tallybook.sources import folders
 from tallybook.sources.ledger_store import LedgerStore
 
 
@@ -86,3 +86,13 @@ def test_json_is_parsed_once_per_row(spark):
     text = plan(entry_points.queries()["ingest_validate"](spark, SMALL))
     physical = text.split("(1)")[1]
     assert physical.count("from_json(") <= 2  # the generator and its argument listing
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    assert spark.sparkContext.applicationId in session.scratch_path(spark, "label")
+    monkeypatch.setattr(session, "_own_scratch", lambda spark: f"{tmp_path}/own")
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.clear_scratch(spark)
+    assert not folders.exists(spark, path)
+    assert folders.exists(spark, str(tmp_path))
