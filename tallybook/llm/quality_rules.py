@@ -182,24 +182,29 @@ def fit(voted: DataFrame, rules: list[Rule] = RULES, rounds: int = 12, prior_row
     first = start(rules)
     model = first
     for _ in range(rounds):
-        p = model.posterior()
-        sums = [F.sum("n").alias("n"), F.sum(F.col("n") * p).alias("good")]
-        for r in rules:
-            for v in (GOOD, BAD):
-                hit = F.when(F.col(f"vote_{r.name}") == v, F.col("n")).otherwise(0)
-                sums.append(F.sum(hit * p).alias(f"good_{r.name}_{v}"))
-                sums.append(F.sum(hit * (1 - p)).alias(f"bad_{r.name}_{v}"))
-        row = patterns.agg(*sums).first()
-        if not row["n"]:
+        # Long form keeps the plan small: a row per pattern and rule, and one for the pattern.
+        cells = [F.struct(F.lit("").alias("rule"), F.lit(0).alias("vote"))] + [
+            F.struct(F.lit(r.name).alias("rule"), F.col(f"vote_{r.name}").alias("vote"))
+            for r in rules
+        ]
+        long = patterns.select(
+            "n", model.posterior().alias("p"), F.explode(F.array(*cells)).alias("c")
+        )
+        sums = long.groupBy("c.rule", "c.vote").agg(
+            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p")).alias("good")
+        )
+        seen = {(r["rule"], r["vote"]): (r["good"], r["n"] - r["good"]) for r in sums.collect()}
+        if ("", 0) not in seen:
             return first
-        share = (row["good"] + prior_rows * first.prior) / (row["n"] + prior_rows)
+        total_good, total_bad = seen["", 0]
+        share = (total_good + prior_rows * first.prior) / (total_good + total_bad + prior_rows)
         new = Model(min(max(share, 0.5), 0.99), {}, {})
         for r in rules:
-            for which in ("good", "bad"):
+            for k, which in enumerate(("good", "bad")):
                 old = getattr(first, which)[r.name]
-                seen = {v: row[f"{which}_{r.name}_{v}"] for v in (GOOD, BAD)}
-                total = sum(seen.values()) + prior_rows
-                rates = {v: (seen[v] + prior_rows * old[v]) / total for v in (GOOD, BAD)}
+                votes_ = {v: seen.get((r.name, v), (0.0, 0.0))[k] for v in (GOOD, BAD)}
+                total = sum(votes_.values()) + prior_rows
+                rates = {v: (votes_[v] + prior_rows * old[v]) / total for v in (GOOD, BAD)}
                 getattr(new, which)[r.name] = rates
             g, b = new.good[r.name], new.bad[r.name]
             if g[BAD] > b[BAD]:
