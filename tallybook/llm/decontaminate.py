@@ -4,8 +4,11 @@ Windows of a few sizes run over every document on a grid; a size is used for the
 are long enough to hold a whole grid window wherever they start. Window fingerprints within
 the Hamming radius of an item's window are found through four 16-bit blocks: two 64-bit
 fingerprints within 7 bits differ by at most one bit in some block, so looking up every block
-with its one-bit neighbours misses none. A candidate counts if the weighted-shingle similarity
-of the item and the aligned words of the document is high enough.
+with its one-bit neighbours misses none. Edits can move a fingerprint beyond the radius, and an
+item longer than the largest window is known by its first words only, so the rarest shingles of
+each item are looked up too: as many as make up more weight than a similar place can lack. Every
+place that is similar enough holds one of them, so no leak is missed. A candidate counts if the
+weighted-shingle similarity of the item and a run of as many words of the document is high enough.
 """
 
 from __future__ import annotations
@@ -94,6 +97,42 @@ class ItemIndex:
             owner = np.array([r[1] for r in rows])
             shift = np.array([r[2] for r in rows])
             self.by_size[key] = (prints, owner, shift, [self._block(prints, b) for b in range(4)])
+        self.cover, self.cover_owner, self.cover_start = self._cover()
+
+    def _cover(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Shingles of which every similar place of an item holds one: sorted, with their items.
+
+        The shared weight of a similar place is at least SIMILARITY of the item's weight, so
+        shingles of more than the rest cannot all be missing. The rarest ones are taken.
+        """
+        whole = [(k, w) for k, (n, w) in enumerate(self.items) if n >= SHINGLE]
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(w[0] for _, w in whole)])
+        _, inverse, often = np.unique(hashes, return_inverse=True, return_counts=True)
+        often, low, taken, owner = often[inverse], 0, [np.zeros(0, np.uint64)], []
+        for k, (own, weights) in whole:
+            order = np.argsort(often[low : low + len(own)], kind="stable")
+            before = np.cumsum(weights[order]) - weights[order]
+            # A little more than needed, so that rounding never decides.
+            pick = order[before <= (1 - SIMILARITY + 1e-6) * weights.sum()]
+            taken.append(own[pick])
+            owner += [k] * len(pick)
+            low += len(own)
+        found = np.concatenate(taken)
+        order = np.argsort(found, kind="stable")
+        unique, start = np.unique(found[order], return_index=True)
+        return unique, np.array(owner, dtype=np.int64)[order], np.append(start, len(found))
+
+    def covered(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (place, item) of shingles that cover an item."""
+        if not len(self.cover):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        slot = np.minimum(np.searchsorted(self.cover, shingles), len(self.cover) - 1)
+        at = np.flatnonzero(self.cover[slot] == shingles)
+        low = self.cover_start[slot[at]]
+        count = self.cover_start[slot[at] + 1] - low
+        ends = np.cumsum(count)
+        pick = np.repeat(low - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+        return np.repeat(at, count), self.cover_owner[pick]
 
     @staticmethod
     def _block(prints: np.ndarray, b: int):
@@ -159,13 +198,51 @@ def _windows(hashes: np.ndarray, first: np.ndarray, keys) -> Iterator[tuple]:
         yield (size, step), _fingerprints(sums, size), where, row
 
 
+def best_place(
+    shingles: np.ndarray, weights: np.ndarray, item: tuple, starts: np.ndarray
+) -> tuple[float, int]:
+    """Highest similarity of an item at the given first words of a row, and the first such word.
+
+    A place is as many words as the item has, or those up to the row's end. The weight of all
+    its shingles that the item has bounds the similarity, so places are tried from the
+    highest bound until none can be better.
+    """
+    n, (own, own_weights) = item
+    ends = np.minimum(starts + n - SHINGLE + 1, len(shingles))
+    low = starts[0]
+    part, part_weights = shingles[low : ends.max()], weights[low : ends.max()]
+    slot = np.minimum(np.searchsorted(own, part), len(own) - 1)
+    hit = own[slot] == part
+    total = np.concatenate([[0], np.cumsum(part_weights)])
+    known = np.concatenate([[0], np.cumsum(part_weights * hit)])
+    all_own = own_weights.sum()
+    joint = total[ends - low] - total[starts - low] + all_own
+    most = np.minimum(known[ends - low] - known[starts - low], all_own)
+    bound = most / (joint - most)
+    best, at = 0.0, 0
+    tried = np.flatnonzero(bound >= SIMILARITY)
+    for k in tried[np.argsort(-bound[tried], kind="stable")].tolist():
+        if bound[k] < best or (bound[k] == best and starts[k] > at):
+            break
+        here = slice(starts[k] - low, ends[k] - low)
+        found = np.bincount(
+            slot[here][hit[here]], part_weights[here][hit[here]], minlength=len(own)
+        )
+        both = np.minimum(found, own_weights).sum()
+        share = float(both / (joint[k] - both))
+        if share > best or (share == best and starts[k] < at):
+            best, at = share, int(starts[k])
+    return best, at
+
+
 def find_in(column: pa.Array, index: ItemIndex) -> dict[str, list]:
     """Verified hits of a column of texts: row, item, first word, words, similarity."""
     out: dict[str, list] = {k: [] for k in ("row", "item", "first_word", "n_words", "similarity")}
     for low, _, data, offsets in textkit.chunks(column):
         hashes, starts, ends, first = textkit.word_hashes(data, offsets, _TABLE)
         lengths = ends - starts
-        places: dict[tuple[int, int], set[int]] = {}
+        # First words to try, as ranges: (row, item) to pairs of the least and the greatest.
+        places: dict[tuple[int, int], set[tuple[int, int]]] = {}
         for key, prints, where, row in _windows(hashes, first, list(index.by_size)):
             window, item = index.within_radius(key, prints)
             _, owner, shift, _ = index.by_size[key]
@@ -176,20 +253,45 @@ def find_in(column: pa.Array, index: ItemIndex) -> dict[str, list]:
                 strict=True,
             )
             for r, i, at in spots:
-                places.setdefault((r, i), set()).add(at)
+                places.setdefault((r, i), set()).add((at - STEP, at + STEP))
+        shingles, base = textkit.shingles(hashes, first, SHINGLE)
+        at, item = index.covered(shingles)
+        row = np.searchsorted(base, at, side="right") - 1
+        for r, i, p in zip(row.tolist(), item.tolist(), (at - base[row]).tolist(), strict=True):
+            places.setdefault((r, i), set()).add((p - index.items[i][0] + SHINGLE, p))
+        summed = np.concatenate([[0], np.cumsum(lengths)])
         for (r, i), spots in sorted(places.items()):
             n, weights = index.items[i]
-            total = first[r + 1] - first[r]
-            best = (0.0, 0)
-            tries = {at + d for at in spots for d in range(-STEP, STEP + 1)}
-            for at in sorted(tries):
-                a, b = first[r] + max(at, 0), first[r] + min(max(at, 0) + n, total)
-                if b <= a:
-                    continue
-                own = shingle_weights(hashes[a:b], lengths[a:b])
-                best = max(best, (weighted_similarity(own, weights), -max(at, 0)))
+            total = int(first[r + 1] - first[r])
+            # A place has at least one shingle; an item of fewer words is one as a whole.
+            last = total - (SHINGLE if n >= SHINGLE else n)
+            if last < 0:
+                continue
+            steps = np.zeros(last + 2, dtype=np.int64)
+            for a, b in spots:
+                if b >= 0 and a <= last:
+                    steps[max(a, 0)] += 1
+                    steps[min(b, last) + 1] -= 1
+            tries = np.flatnonzero(np.cumsum(steps)[:-1] > 0)
+            if not len(tries):
+                continue
+            if n >= SHINGLE:
+                begin = first[r] + np.arange(total - SHINGLE + 1)
+                best = best_place(
+                    shingles[base[r] : base[r + 1]],
+                    summed[begin + SHINGLE] - summed[begin],
+                    index.items[i],
+                    tries,
+                )
+            else:
+                best = (0.0, 0)
+                for p in tries.tolist():
+                    a = first[r] + p
+                    own = shingle_weights(hashes[a : a + n], lengths[a : a + n])
+                    share = weighted_similarity(own, weights)
+                    best = (share, p) if share > best[0] else best
             if best[0] >= SIMILARITY:
-                for k, v in zip(out, (low + r, i, -best[1], n, best[0]), strict=True):
+                for k, v in zip(out, (low + r, i, best[1], n, best[0]), strict=True):
                     out[k].append(v)
     return out
 
@@ -238,7 +340,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Each document with each benchmark item it repeats: doc_id, item_id, place, similarity.
 
     Words are runs of letters and digits, in lower case. ``first_word`` counts the document's
-    words from 0. One row per document and item, the most similar place (the first of equals).
+    words from 0. One row per document and item that are similar at some place, with the most
+    similar place (the first of equals); a place has as many words as the item.
     docs needs ``doc_id`` and ``text``, benchmark ``item_id`` and ``text``; other columns are
     ignored. Null and empty texts match nothing; an item of fewer than five words matches as a
     whole. An empty table on either side gives no rows.

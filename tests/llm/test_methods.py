@@ -256,6 +256,54 @@ def test_edited_leak_is_verified_exactly(docs, frame):
     assert 0.8 <= found[0].similarity < 1
 
 
+def test_edited_headless_and_long_leaks_by_brute_force(docs, frame):
+    rng = random.Random(11)
+    sizes = (5, 7, 9, 12, 20, 40, 90, 250, 300, 450)
+    items = [(i, words_of(rng, n)) for i, n in enumerate(sizes)]
+    items.append((len(items), words_of(rng, 6) * 5))  # shingles that repeat
+    rows = []
+    for _, item in items:
+        n = len(item)
+        for kind in range(8):
+            copy = list(item)
+            if kind % 4 == 0:  # no head
+                copy = copy[max(n // 12, 1) :]
+            elif kind % 4 == 1:  # edited all over
+                for at in range(kind, n, 24 + kind * 3):
+                    copy[at] = "edited"
+            elif kind % 4 == 2:  # words left out and put in, early in the item
+                del copy[n // 6 : n // 6 + max(n // 40, 1)]
+                copy[n // 4 : n // 4] = words_of(rng, max(n // 40, 1))
+            else:  # one block unlike, behind the first 256 words of long ones
+                low = min(n * 2 // 3, n - 1)
+                copy[low : low + n // 14] = words_of(rng, n // 14)
+            rows.append(words_of(rng, rng.randrange(30)) + copy + words_of(rng, rng.randrange(30)))
+
+    def weights(words):
+        out = Counter()
+        for i in range(len(words) - 4):
+            out[tuple(words[i : i + 5])] += sum(map(len, words[i : i + 5]))
+        return out
+
+    want = {}
+    for d, words in enumerate(rows):
+        for i, item in items:
+            own = weights(item)
+            total = sum(own.values())
+            best = (0.0, 0)
+            for at in range(len(words) - 4):
+                place = weights(words[at : at + len(item)])
+                both = sum((own & place).values())
+                best = max(best, (both / (total + sum(place.values()) - both), -at))
+            if best[0] >= 0.8:
+                want[d, i] = (-best[1], best[0])
+    assert len(want) > 30
+    assert len({i for _, i in want}) > 6
+    bench = frame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    found = decontaminate.find_leaks(docs([" ".join(w) for w in rows]), bench).collect()
+    assert {(r.doc_id, r.item_id): (r.first_word, r.similarity) for r in found} == want
+
+
 def test_multi_index_misses_none_in_radius():
     rng = np.random.default_rng(3)
     index = decontaminate.ItemIndex([(i, " ".join(words_of(random.Random(i), 20))) for i in range(40)])
