@@ -39,14 +39,21 @@ HINTS = {
 }
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
+# A cue starts where a run of name characters starts, behind numbers and signs there. Its value
+# runs on to a stop character. A run without a digit is passed over as a whole, but for a name at
+# its end, and gives an empty value; so no cue in it looks for the digit again.
 _STOP = "\\s\"',;()\\[\\]"
+_NAME = "\\p{L}\\p{N}_.-"
 CUE = (
-    "(?<![\\p{L}\\p{N}_])([\\p{L}_][\\p{L}\\p{N}_.-]{1,30}+)\\x20?([:=#])\\x20?[\"'(\\[]?"
-    f"(?=[^{_STOP}]{{0,127}}[0-9])([^{_STOP}]{{6,128}})(?<![.:!?])"
+    f"(?<![{_NAME}])(?:\\p{{N}}[\\p{{L}}\\p{{N}}_]*+[.-]++|[.-]++)*+"
+    f"([\\p{{L}}_][{_NAME}]++)\\x20?([:=#])\\x20?[\"'(\\[]?"
+    f"(?:(?=[^{_STOP}0-9]*+[0-9])([^{_STOP}]{{6,}})(?<![.:!?])|(?![^{_STOP}0-9]*+[0-9])"
+    f"(?:[^{_STOP}0-9]*(?<![{_NAME}])(?=[{_NAME}]++[:=#]*+(?:[{_STOP}]|$))|[^{_STOP}0-9]*+))"
 )
+CUE_HINT = f"[:=#]\\x20?[\"'(\\[]?[^{_STOP}]{{6}}"
 SEED = (
     f"^(?:[{_LOCAL}]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++|{_BYTE}(?:\\.{_BYTE}){{3}}"
-    "|\\+[0-9]{9,15}|[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|[0-9]{3}-[0-9]{2}-[0-9]{4})$"
+    "|\\+[0-9]{9,15}|[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|[0-9]{3}-[0-9]{2}-[0-9]{4})$"
 )
 
 
@@ -119,7 +126,7 @@ def format_spans(text: Column, kind: str) -> Column:
 def cue_values(text: Column) -> Column:
     """Values after a cue: array of (pattern, value, start, end)."""
     made = F.transform(
-        _matches(text, CUE, [0, 1, 2, 3]),
+        F.filter(_matches(text, CUE, [0, 1, 2, 3]), lambda m: m["g3"] != ""),
         lambda m: F.struct(
             F.concat_ws(" ", F.lower(m["g1"]), m["g2"]).alias("pattern"),
             F.lower(m["g3"]).alias("value"),
@@ -127,7 +134,7 @@ def cue_values(text: Column) -> Column:
             m["end"].alias("end"),
         ),
     )
-    return F.when(text.rlike(CUE), made.cast(_CUES)).otherwise(F.array().cast(_CUES))
+    return F.when(text.rlike(CUE_HINT), made.cast(_CUES)).otherwise(F.array().cast(_CUES))
 
 
 def scan(docs: DataFrame, carry: bool = False) -> DataFrame:

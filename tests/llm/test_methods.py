@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallybook.llm import (
     decontaminate,
@@ -216,6 +217,35 @@ def test_formats_in_awkward_texts(docs):
     assert got == {i: expected_spans(t)[1] for i, t in enumerate(rows)}
 
 
+def test_long_values_and_names_are_found_whole(docs):
+    rng = random.Random(12)
+    names = ["token", "AWS_SECRET_ACCESS_KEY_FOR_PRODUCTION_DB_OF_THE_REGION"]
+    seeds = [f"{n} = {rng.getrandbits(160):040x} of a member" for n in names for _ in range(12)]
+    values = ["Kq7" + "xYz9" * 50, "k" * 300 + "7", "ab.c-" * 400 + "9"]
+    long = [f'a {n} = "{v}" here.' for n in names for v in values]
+    rows = seeds + long
+    found = {r.doc_id: r.spans for r in pii.find_pii(docs(rows)).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(docs(rows)).collect()}
+    for i, (n, v) in enumerate((n, v) for n in names for v in values):
+        at = len(f'a {n} = "')
+        assert found[len(seeds) + i] == f"context:{at}:{at + len(v)}"
+        assert clean[len(seeds) + i] == f'a {n} = "[CONTEXT]" here.'
+
+
+def test_cues_in_awkward_texts(docs):
+    rows = [
+        "to: token: abc123x.", "9a.x-key=a1b2c3 aa:bb=cc = d4e5f6", "aa=" * 200_000,
+        "aa=" * 200_000 + "1234567", "1." * 100_000, "a-" * 100_000 + ":", "aa:" + "b.c" * 50_000,
+        "aa:1" + "." * 100_000,
+    ]
+    got = docs(rows).select("doc_id", pii.cue_values(F.col("text")).alias("c")).collect()
+    found = {r.doc_id: [(c.pattern, c.start, c.end) for c in r.c] for r in got}
+    assert found[0] == [("token :", 11, 18)]
+    assert found[1] == [("x-key =", 9, 15), ("cc =", 27, 33)]
+    assert found[3] == [("aa =", 3, 600_007)]
+    assert not any(found[i] for i in (2, 4, 5, 6, 7))
+
+
 def test_contexts_find_unseen_identifiers(docs):
     rng = random.Random(2)
     seeds = [f"badge = {rng.getrandbits(160):040x} of a member" for _ in range(12)]
