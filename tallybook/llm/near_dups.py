@@ -267,7 +267,7 @@ def components(links: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes of all rows, and the class of each node that is linked to another.
 
-    docs has ``id`` and ``text``. Returns (id, node) and (node, label).
+    docs has ``id``, which no two rows share, and ``text``. Returns (id, node) and (node, label).
     """
     schema = "id bigint, node bigint, size int, keys array<bigint>"
     rows = keep(map_batches(docs.select("id", "text"), partial(_sketch, column="text"), schema), "sketches")
@@ -323,23 +323,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     are white-space words in lower case; two texts are linked if the aligned share of their
     five-word shingles is at least 0.8, and a class is what links connect. Texts with equal
     words are one class, so all null, empty and blank texts are one; a text of fewer than five
-    words is near its equals only. A row without id takes its class's id. An empty table gives
-    no rows.
+    words is near its equals only. Rows are compared one by one, whatever their ids: a row
+    without id takes its class's id, rows that share an id may be of different classes, and
+    classes with the same least id have the same name. A class without any id has none. An empty
+    table gives no rows.
     """
-    texts = docs.select(
-        F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")
+    rows = keep(
+        docs.select(
+            F.monotonically_increasing_id().alias("id"),
+            F.col("doc_id").cast("bigint").alias("doc_id"),
+            F.col("text").cast("string").alias("text"),
+        ),
+        "rows",
     )
-    ids, labels = classes(texts)
-    return _named(ids, labels).select(
-        F.col("id").alias("doc_id"),
+    ids, labels = classes(rows.select("id", "text"))
+    return _named(ids.join(rows.select("id", "doc_id"), "id"), labels).select(
+        "doc_id",
         "class_id",
-        F.coalesce(F.col("id") == F.col("class_id"), F.lit(False)).alias("is_first"),
+        F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("is_first"),
     )
 
 
 def _named(ids: DataFrame, labels: DataFrame) -> DataFrame:
-    """Each row with the least id of its class."""
-    per_node = ids.groupBy("node").agg(F.min("id").alias("low"))
+    """Each row with the least doc_id of its class."""
+    per_node = ids.groupBy("node").agg(F.min("doc_id").alias("low"))
     labelled_ = per_node.join(labels, "node", "left").select(
         "node", "low", F.coalesce("label", "node").alias("label")
     )

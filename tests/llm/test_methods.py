@@ -169,6 +169,29 @@ def test_formats_by_brute_force(spark, text):
     assert pii.find_pii(df).first().base_sha256 == expected_spans(text)[1]
 
 
+def test_near_copies_with_null_and_repeated_ids(docs):
+    rng = random.Random(13)
+
+    def edited(words, places):
+        return [f"new{i}" if i in places else w for i, w in enumerate(words)]
+
+    first, other = words_of(rng, 200), words_of(rng, 200)
+    bridge = edited(first, {20, 50, 80})
+    last = edited(bridge, {110, 140, 170})
+    unlike = edited(other, {10, 40, 70, 100, 130, 160})
+    rows = [
+        (21, first), (None, bridge), (20, last),
+        (1, edited(other, {190})), (9, other), (9, unlike), (2, edited(unlike, {180})),
+        (None, words_of(rng, 30)),
+    ]
+    found = near_dups.near_duplicates(docs([(i, " ".join(w)) for i, w in rows])).collect()
+    none = 0
+    assert sorted((r.doc_id or none, r.class_id or none, r.is_first) for r in found) == [
+        (0, 0, False), (0, 20, False), (1, 1, True), (2, 2, True), (9, 1, False), (9, 2, False),
+        (20, 20, True), (21, 20, False),
+    ]
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
