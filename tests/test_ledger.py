@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import event, ledger_frame
+from frames import event, ledger_frame
 from tallybook import schema
 from tallybook.plans import incremental
 from tallybook.plans.incremental import run_incremental

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_points
-from conftest import SMALL
+from frames import SMALL
 from tallybook import session
 from tallybook.catalog.base import visit_events
 from tallybook.operators import counts, filters, visits

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import event, ledger_frame
+from frames import event, ledger_frame
 from tallybook.operators import counts, ranking, visits
 from tallybook.plans import incremental
 

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from conftest import SMALL
+from frames import SMALL
 from tallybook.catalog import registry
 
 QUERIES = {name: fn for name, (fn, _) in registry().items()}
