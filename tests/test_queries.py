@@ -3,6 +3,10 @@
 import datetime as dt
 import math
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -70,3 +74,17 @@ def test_entry(spark):
 def test_entry_points_list_the_catalog():
     assert set(QUERIES) <= set(entry_points.queries())
     assert set(SQL) <= set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize("with_pipeline", [True, False])
+def test_entry_points_without_the_corpus_subpackage(tmp_path, with_pipeline):
+    repo = Path(entry_points.__file__).parent
+    shutil.copy(repo / "__spark_entry__.py", tmp_path)
+    if with_pipeline and (repo / "corpus_pipeline.py").exists():
+        shutil.copy(repo / "corpus_pipeline.py", tmp_path)
+    shutil.copytree(repo / "tallybook", tmp_path / "tallybook", ignore=shutil.ignore_patterns("llm"))
+    code = "import __spark_entry__ as e; print(*sorted(e.queries()))"
+    run = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    assert run.stdout.split() == sorted(QUERIES)
