@@ -129,3 +129,13 @@ def op8_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallybook.llm.suffix_dups import remove_repeats
 
     return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+@_query("op11_target_resample")
+def op11_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.target_resample import resample_to_target
+
+    drawn = resample_to_target(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
