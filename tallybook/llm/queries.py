@@ -139,3 +139,17 @@ def op11_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     )
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query("op12_prefix_trie")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.prefix_trie import conversation_trie
+
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+@_query("op13_secret_scan")
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallybook.llm.secret_scan import find_secrets, report
+
+    return report(find_secrets(_table(spark, sf_dir, "documents")))
