@@ -66,7 +66,7 @@ SELECT event_id, action, CASE WHEN event_id % 40 = 12 THEN 'adrc' ELSE study END
  CASE WHEN event_id % 40 = 10 THEN timestamp + INTERVAL 5 HOUR ELSE timestamp END AS timestamp
 FROM visit_events WHERE event_id % 40 > 8 AND event_id % 40 <> 13
 """
-_EXPECTED_ERRORS = """
+EXPECTED_ERRORS = """
 SELECT event_id, CASE event_id % 40
  WHEN 0 THEN 'JSON decode error' WHEN 1 THEN 'ptid: field required'
  WHEN 2 THEN 'action: unknown value' WHEN 3 THEN 'extra field' WHEN 4 THEN 'ptid: bad pattern'
@@ -83,7 +83,7 @@ def ingest_validate(spark, sf_dir):
     return ledger_view(validation.valid_rows(checked), "event_id")
 
 
-@query("ingest_errors", _EXPECTED_ERRORS)
+@query("ingest_errors", EXPECTED_ERRORS)
 def ingest_errors(spark, sf_dir):
     checked = validation.check_visit_events(raw_events(spark, sf_dir))
     bad = checked.filter(F.size("errors") > 0)
@@ -257,7 +257,7 @@ def batch_validation(spark, sf_dir):
     return validation.batch_summary(_checked_records(spark, sf_dir))
 
 
-@query("batch_errors", f"SELECT event_id AS index, errors FROM ({_EXPECTED_ERRORS}) e")
+@query("batch_errors", f"SELECT event_id AS index, errors FROM ({EXPECTED_ERRORS}) e")
 def batch_errors(spark, sf_dir):
     """Invalid records with their index and messages."""
     checked = validation.check_visit_events(raw_events(spark, sf_dir))

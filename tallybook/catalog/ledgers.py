@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallybook import schema, session
 from tallybook.catalog.base import query, visit_events
-from tallybook.catalog.ingest import EXPECTED_VALID, ledger_view, raw_events
+from tallybook.catalog.ingest import EXPECTED_ERRORS, EXPECTED_VALID, ledger_view, raw_events
 from tallybook.operators import counts, filters, validation
-from tallybook.plans import incremental
-from tallybook.sources import event_files
+from tallybook.plans import incremental, landing_run
+from tallybook.sources import event_files, landing
 from tallybook.sources.ledger_store import LedgerStore, load_ledger, save_ledger
 from tallybook.streaming import event_stream
 
@@ -263,19 +263,76 @@ def run_status(spark, sf_dir):
     production=_RUN_TABLES["production"],
 )
 def rerun_noop(spark, sf_dir):
+    """Two runs over one landing; the second finds every file taken and opens none."""
+    folder = session.scratch_path(spark, "landing")
+    raw_events(spark, sf_dir).select("value").write.text(folder)
     store = _fresh_store(spark)
-    raw = raw_events(spark, sf_dir)
-    incremental.run_incremental(raw, store, "first")
-    again = incremental.run_incremental(raw, store, "second")
+    landing_run.run_landing(spark, folder, store, "first", layout="lines")
+    again = landing_run.run_landing(spark, folder, store, "second", layout="lines")
     kept = store.marks().select(*schema.GROUP_KEY, "event_count")
-    return again.groups.join(kept, list(schema.GROUP_KEY)).select(
+    return kept.select(
         F.lit(len(store.committed_runs())).alias("committed_runs"),
         *schema.GROUP_KEY,
-        "new_events",
+        F.lit(again.n_files).cast("bigint").alias("new_events"),
         "event_count",
     )
 
 
+_OBJECT_ERRORS = """SELECT e.event_id, COALESCE(x.errors, '') AS errors
+  FROM visit_events e LEFT JOIN expected_errors x ON e.event_id = x.event_id"""
+
+
+def _land_objects(rows: DataFrame, folder: str) -> int:
+    """One file per event; some of those that are no JSON are empty files."""
+    name = F.concat_ws(
+        "/",
+        F.floor(F.col("event_id") / 500).cast("string"),
+        F.concat_ws("-", F.col("event_id").cast("string"), F.element_at(F.split("source_key", "/"), -1)),
+    )
+    value = F.when(F.col("value") != "not json", F.col("value"))
+    return landing.write_objects(rows.select(name.alias("name"), value.alias("value")), folder)
+
+
+def _event_id_of(key: str):
+    return F.regexp_extract(key, r"/(\d+)-log-[^/]*$", 1).cast("bigint")
+
+
+@query("objects_ingest", _OBJECT_ERRORS, expected_errors=EXPECTED_ERRORS)
+def objects_ingest(spark, sf_dir):
+    """Every event landed as a file of its own, listed, read and checked; some files are empty."""
+    folder = session.scratch_path(spark, "objects")
+    _land_objects(raw_events(spark, sf_dir), folder)
+    files = landing.select_landed(landing.list_landing(spark, folder), "objects")
+    checked = validation.check_visit_events(landing.read_objects(files, files.count()))
+    return checked.select(
+        _event_id_of("source_key").alias("event_id"), F.array_join("errors", "; ").alias("errors")
+    )
+
+
+@query(
+    "landing_steps",
+    f"""SELECT CASE WHEN e.timestamp < TIMESTAMP '{_CUT}' THEN 'first' ELSE 'second' END AS run,
+          e.event_id, x.errors IS NOT NULL AS quarantined
+        FROM visit_events e LEFT JOIN expected_errors x ON e.event_id = x.event_id""",
+    expected_errors=EXPECTED_ERRORS,
+)
+def landing_steps(spark, sf_dir):
+    """Files land in two steps with a run after each: which run took which file."""
+    folder, store = session.scratch_path(spark, "objects"), _fresh_store(spark)
+    raw = raw_events(spark, sf_dir)
+    early = F.col("event_time") < F.lit(_CUT).cast("timestamp_ntz")
+    for run, part in (("first", early), ("second", ~early)):
+        _land_objects(raw.where(part), folder)
+        landing_run.run_landing(spark, folder, store, run)
+    bad = store.aside("quarantine").select("source_key", F.lit(True).alias("bad"))
+    taken = store.aside(landing_run.TAKEN).join(bad, "source_key", "left")
+    return taken.select(
+        "run",
+        _event_id_of("source_key").alias("event_id"),
+        F.coalesce("bad", F.lit(False)).alias("quarantined"),
+    )
+
+
 @query(
     "rebuild_equals_incremental",
     f"SELECT {_LEDGER} FROM ({_EXPECTED_LEDGER}) e",

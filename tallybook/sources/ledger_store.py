@@ -4,7 +4,7 @@ Every run adds its rows in a folder of its own, partitioned by study and datatyp
 
     <root>/events/run=<id>/by_study=<study>/by_datatype=<datatype>/*.parquet
     <root>/marks/run=<id>/*.parquet      latest timestamp and count per ledger
-    <root>/<kind>/run=<id>/*.parquet     rows set aside: quarantine, late
+    <root>/<kind>/run=<id>/*.parquet     rows set aside: quarantine, late, taken (the files read)
 
 A run counts once Spark's own success marker is in its folder, so readers never see
 part of a run and a failed run is simply repeated. Nothing that is read is ever
@@ -86,6 +86,10 @@ class LedgerStore:
         marks = folders.matching(self.spark, f"{self.root}/{kind}/run=*/_SUCCESS")
         return [m.split("/")[-2].removeprefix("run=") for m in marks]
 
+    def finished_runs(self, kind: str) -> list[str]:
+        """Runs that have set rows of a kind aside."""
+        return self._finished_runs(kind)
+
     def _finished(self, kind: str, run_id: str) -> bool:
         return folders.exists(self.spark, f"{self._run_path(kind, run_id)}/_SUCCESS")
 
@@ -200,6 +204,12 @@ class LedgerStore:
         reader = self.spark.read.option("basePath", f"{self.root}/{kind}")
         return reader.parquet(*[self._run_path(kind, r) for r in runs])
 
+    def aside_runs(self, kind: str, runs: Sequence[str], columns: T.StructType) -> DataFrame:
+        """Rows of a kind that some runs set aside, without their run; none for no runs."""
+        if not runs:
+            return self.spark.createDataFrame([], columns)
+        return self.spark.read.schema(columns).parquet(*[self._run_path(kind, r) for r in runs])
+
     def rewrite(self, target_root: str, run_id: str = "rewrite") -> LedgerStore:
         """Copy all committed rows into a fresh store as one run, and check the count."""
         if folders.exists(self.spark, target_root):
