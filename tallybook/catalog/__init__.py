@@ -6,6 +6,7 @@
 from tallybook.catalog import (  # noqa: F401
     files,
     ingest,
+    kept,
     ledgers,
     reports,
     tables,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallybook.catalog.base import query, table, visit_events
-from tallybook.operators import visits
+from tallybook.operators import sequences, visits
 
 TIES = ("event_id",)
 _KEY = "ptid, visit_date, visit_number"
@@ -121,3 +121,25 @@ def last_write_wins(spark, sf_dir):
     name = F.concat(F.lit("user-"), "user_id", F.lit("/"), "event_type", F.lit(".json"))
     written = events.select(name.alias("name"), "event_id", "props", "ts")
     return visits.last_write_wins(written, "name", ["ts", "event_id"])
+
+
+def _letters(pattern: str) -> str:
+    """SQL for the non-overlapping matches of a pattern over a visit's events, as letters."""
+    return f"""SELECT {_KEY}, n_matches FROM (SELECT {_KEY}, CAST(LEN(regexp_extract_all(
+        STRING_AGG(CASE action WHEN 'submit' THEN 's' WHEN 'pass-qc' THEN 'p'
+          WHEN 'not-pass-qc' THEN 'f' ELSE 'd' END, '' ORDER BY timestamp, event_id),
+        '{pattern}')) AS BIGINT) AS n_matches FROM visit_events GROUP BY {_KEY}) t
+      WHERE n_matches > 0"""
+
+
+@query("sequence_corrected", _letters("sf+p"))
+def sequence_corrected(spark, sf_dir):
+    """Visits whose submit failed once or more and then passed, one event right after the other."""
+    return sequences.matches(
+        visit_events(spark, sf_dir), ["submit", "not-pass-qc+", "pass-qc"], TIES
+    )
+
+
+@query("sequence_resubmitted", _letters("s+ps"))
+def sequence_resubmitted(spark, sf_dir):
+    return sequences.matches(visit_events(spark, sf_dir), ["submit+", "pass-qc", "submit"], TIES)
