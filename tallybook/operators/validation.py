@@ -154,7 +154,15 @@ def check_visit_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     )
 
     rules = _visit_event_rules() + (strict_rules() if strict else [])
-    return rows.select(*carried, *names, error_list(rules).alias("errors"))
+    return rows.select(*carried, *names, once(error_list(rules)).alias("errors"))
+
+
+def once(value: Column) -> Column:
+    """The value through a generator, so that a later filter on it does not compute it again.
+
+    Spark moves a filter below plain projections, and with it all that its columns are made of.
+    """
+    return F.explode(F.array(value))
 
 
 def _field_texts(docs: DataFrame, names: Sequence[str], others: Sequence[str]) -> DataFrame:
