@@ -25,13 +25,45 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 PACKED = PIECES + ", sequence_id bigint, offset bigint"
 
 
+_LOWER = textkit.lower_bytes()
+_COMPARED = 1 << 19  # bytes compared at once
+
+
+def unequal(
+    a: np.ndarray,
+    a_at: np.ndarray,
+    a_size: np.ndarray,
+    b: np.ndarray,
+    b_at: np.ndarray,
+    b_size: np.ndarray,
+) -> np.ndarray:
+    """Whether byte spans differ, pair by pair; none is empty."""
+    out = a_size != b_size
+    same = np.flatnonzero(~out)
+    reach = np.cumsum(a_size[same])
+    low = 0
+    while low < len(same):
+        behind = reach[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(reach, behind + _COMPARED, side="right")))
+        pick = same[low:high]
+        size = a_size[pick]
+        begin = np.cumsum(size) - size
+        within = np.arange(begin[-1] + size[-1])
+        left = a[np.repeat(a_at[pick] - begin, size) + within]
+        right = b[np.repeat(b_at[pick] - begin, size) + within]
+        out[pick] = np.logical_or.reduceat(left != right, begin)
+        low = high
+    return out
+
+
 class WordIds:
     """Token ids of words, remembered as arrays.
 
     The tokenizer drops white space and never merges across it, nor from a letter to a
     following mark, so a text's ids are those of its words in order. Each distinct word is
-    encoded once by the tokenizer. Words are known by a 64-bit hash with ASCII case
-    folded, as the vocabulary is lower case.
+    encoded once by the tokenizer. Words are looked up by a 64-bit hash with ASCII case
+    folded, as the vocabulary is lower case, and their bytes are compared with those of the word that
+    is remembered; a text with a word that only shares a hash goes to the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -54,6 +86,9 @@ class WordIds:
         self.at = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, "<u4")
+        self.text = np.zeros(0, np.uint8)
+        self.text_at = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
 
     def _words(self, data, offsets):
         kind = self.kind[data]
@@ -70,7 +105,7 @@ class WordIds:
         hashes = textkit.span_hashes(textkit.prefix_hashes(data, values), starts, ends)
         return hashes, starts, ends, np.searchsorted(starts, offsets)
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, words: list[str], folded: list[np.ndarray]) -> None:
         """Encode new words, in blocks joined by spaces; ids go to words by their offsets."""
         counts, found = [], []
         for low in range(0, len(words), 20_000):
@@ -89,6 +124,11 @@ class WordIds:
         self.at = np.concatenate([self.at, at])[order]
         self.count = np.concatenate([self.count, count])[order]
         self.ids = np.concatenate([self.ids, *found])
+        size = np.fromiter(map(len, folded), np.int64, len(folded))
+        text_at = np.concatenate([[0], np.cumsum(size)])[:-1] + len(self.text)
+        self.text = np.concatenate([self.text, *folded])
+        self.text_at = np.concatenate([self.text_at, text_at])[order]
+        self.size = np.concatenate([self.size, size])[order]
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """Row index and ids of each text; a null text has none."""
@@ -106,20 +146,28 @@ class WordIds:
             unique, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
             if len(self.known) + len(unique) > _STORE_WORDS:
                 self.forget()
+            folded, size = _LOWER[data], ends - starts
+            clash = unequal(folded, starts, size, folded, starts[sample][inverse], size[sample][inverse])
             if len(unique):
                 slot = np.searchsorted(self.known, unique)
                 slot[slot == len(self.known)] = 0
                 new = (
                     self.known[slot] != unique if len(self.known) else np.ones(len(unique), bool)
                 )
+                old, was = sample[~new], slot[~new]
+                other = np.zeros(len(unique), bool)
+                other[~new] = unequal(
+                    folded, starts[old], size[old], self.text, self.text_at[was], self.size[was]
+                )
+                clash |= other[inverse]
                 if new.any():
                     raw = data.tobytes()
-                    pick = sample[new]
-                    words = [
-                        raw[s:e].decode()
-                        for s, e in zip(starts[pick].tolist(), ends[pick].tolist(), strict=True)
-                    ]
-                    self._learn(unique[new], words)
+                    spans = list(zip(starts[sample[new]].tolist(), ends[sample[new]].tolist(), strict=True))
+                    self._learn(
+                        unique[new],
+                        [raw[s:e].decode() for s, e in spans],
+                        [folded[s:e] for s, e in spans],
+                    )
                     slot = np.searchsorted(self.known, unique)
                 at, count = self.at[slot][inverse], self.count[slot][inverse]
             else:
@@ -127,6 +175,7 @@ class WordIds:
             total = np.concatenate([[0], np.cumsum(count)])
             flat = self.ids[np.repeat(at - total[:-1], count) + np.arange(total[-1])]
             special = self._special_rows(column.slice(low, high - low))
+            special.update((np.searchsorted(first, np.flatnonzero(clash), side="right") - 1).tolist())
             for row in range(high - low):
                 if row in special:
                     text = column[low + row].as_py()

@@ -615,3 +615,30 @@ def test_licenses_query(run, texts):
         if plain(template) in p
     }
     assert {(r.doc_id, r.license) for r in run("op10_license_scan")} == want
+
+
+def _thue_morse(n):
+    text = "a"
+    while len(text) < n:
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_words_that_share_a_hash_keep_their_own_ids(size):
+    first = _thue_morse(size)
+    second = first.translate(str.maketrans("ab", "ba"))
+    words = packing.WordIds(queries.tokenizer_path())
+    together = [f"{first} x {second}", f"y {second}", f"{first}", "plain words"]
+    for texts in (together, [second, first]):  # within a block, and against a remembered word
+        got = dict(words.encode(pa.array(texts)))
+        for i, text in enumerate(texts):
+            want = words.tokenizer.encode(text, add_special_tokens=False).ids
+            assert got[i].tolist() == want
+
+
+def test_unequal_spans():
+    a = np.frombuffer(b"abcdefabcxef", np.uint8)
+    at, size = np.array([0, 6, 0, 3]), np.array([3, 3, 6, 1])
+    ref, ref_size = np.array([6, 6, 6, 9]), np.array([3, 2, 6, 1])
+    assert packing.unequal(a, at, size, a, ref, ref_size).tolist() == [False, True, True, True]
