@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallybook.llm.scratch import keep, map_batches
 
 STRIDE, LONGEST_STRIDE = 16, 4096  # turns of the first stride; each next one is twice as long
-CONTAINER_TURNS = 1 << 16  # turns that a container may hold
+CONTAINER_TURNS = 1 << 12  # turns that a container may hold
 HEAD_TURNS, GROUP = 8, 5  # splice(): turns a group of conversations can share, and its size
 BLOCK_BITS = 12  # ids that are joined into one text before digests: 2 ** 12 in a row
 
