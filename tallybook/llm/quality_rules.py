@@ -2,6 +2,11 @@
 
 Everything runs in DataFrame functions. The votes are counted by pattern (at most three to
 the power of the number of rules), and expectation-maximisation runs over that small table.
+
+A document is good if it is no junk and does no harm. Rules on writing say nothing about
+abuse, so each of the two has its own rules, its own hidden class and its own
+expectation-maximisation, and the posterior is the product: many votes for clean writing
+cannot outvote a complaint about insults.
 """
 
 from __future__ import annotations
@@ -68,6 +73,8 @@ RULES = [
         lambda m: word_length(m).between(3, 8),
         lambda m: (word_length(m) < 2) | (word_length(m) > 14),
     ),
+]
+HARM_RULES = [
     Rule("insults", lambda m: m("n_insults") == 0, lambda m: insults(m) > 0.01),
     Rule("insult_count", lambda m: m("n_insults") == 0, lambda m: m("n_insults") >= 3),
 ]
@@ -174,8 +181,8 @@ def start(rules: list[Rule]) -> Model:
 def fit(voted: DataFrame, rules: list[Rule] = RULES, rounds: int = 12, prior_rows: float = 50.0):
     """Expectation-maximisation over the vote patterns; without rows the start values stay.
 
-    ``prior_rows`` pseudo-documents with the start rates keep each rate off 0 and 1, and a
-    rule never counts for the class it votes against.
+    ``prior_rows`` pseudo-documents with the start rates keep each rate and the share of good
+    documents off 0 and 1, and a rule never counts for the class it votes against.
     """
     names = [f"vote_{r.name}" for r in rules]
     patterns = keep(voted.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "patterns")
@@ -198,7 +205,7 @@ def fit(voted: DataFrame, rules: list[Rule] = RULES, rounds: int = 12, prior_row
             return first
         total_good, total_bad = seen["", 0]
         share = (total_good + prior_rows * first.prior) / (total_good + total_bad + prior_rows)
-        new = Model(min(max(share, 0.5), 0.99), {}, {})
+        new = Model(share, {}, {})
         for r in rules:
             for k, which in enumerate(("good", "bad")):
                 old = getattr(first, which)[r.name]
@@ -219,30 +226,45 @@ def _failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def apply_rules(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+def judged(
+    measured: DataFrame, rules: list[Rule], harm_rules: list[Rule]
+) -> tuple[DataFrame, Column]:
+    """Measures with votes, and the posterior that a document is neither junk nor harmful."""
+    voted = keep(votes(measured, rules + harm_rules), "votes")
+    parts = [fit(voted, part).posterior() for part in (rules, harm_rules) if part]
+    return voted, functools.reduce(operator.mul, parts)
+
+
+def apply_rules(
+    docs: DataFrame, rules: list[Rule] = RULES, harm_rules: list[Rule] = HARM_RULES
+) -> DataFrame:
     """Judge every document by the rules' posterior.
 
     docs needs ``doc_id`` and ``text``; other columns are ignored. Returns the base counts,
     ``base_failed`` (under 10 words, or more than a fifth of them in repeated windows),
     ``kept`` (not base_failed and a posterior of at least a half), the posterior and the
-    votes. A null or empty text has no words and fails. Repeated rows are judged alike; an
-    empty table gives no rows.
+    votes. A null or empty text has no words and fails. Texts are measured whole, whatever their
+    length. Repeated rows and ties are judged alike; an empty table gives no rows.
     """
-    voted = keep(votes(measures(docs), rules), "votes")
-    model = fit(voted, rules)
+    voted, posterior = judged(measures(docs), rules, harm_rules)
     failed = _failed()
     return voted.select(
         "doc_id",
         *BASE,
         failed.alias("base_failed"),
-        (~failed & (model.posterior() >= 0.5)).alias("kept"),
-        model.posterior().alias("p_good"),
-        *[F.col(f"vote_{r.name}").cast("int").alias(f"vote_{r.name}") for r in rules],
+        (~failed & (posterior >= 0.5)).alias("kept"),
+        posterior.alias("p_good"),
+        *[F.col(f"vote_{r.name}").cast("int").alias(f"vote_{r.name}") for r in rules + harm_rules],
     )
 
 
-def keep_good(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
-    """The documents that the rules keep, with all their columns, row by row."""
-    voted = keep(votes(measures(docs, F.struct("*")), rules), "votes")
-    model = fit(voted, rules)
-    return voted.where(~_failed() & (model.posterior() >= 0.5)).select("doc.*")
+def keep_good(
+    docs: DataFrame, rules: list[Rule] = RULES, harm_rules: list[Rule] = HARM_RULES
+) -> DataFrame:
+    """The documents that the rules keep, with all their columns, row by row.
+
+    As ``apply_rules``: null and empty texts go, long ones are measured whole, repeated rows stay or
+    go together, and an empty table gives no rows.
+    """
+    voted, posterior = judged(measures(docs, F.struct("*")), rules, harm_rules)
+    return voted.where(~_failed() & (posterior >= 0.5)).select("doc.*")

@@ -83,8 +83,9 @@ def test_clashing_columns(frame, name):
         assert got.columns == extra.columns
         assert got.select([F.col(f"`{c}`") for c in CLASHING]).distinct().count() == 1
         got = got.select(*want.columns)
-    if name != "lm":  # trained in the order of its tasks
-        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    if name == "lm":
+        got, want = (df.select("doc_id", "n_words", F.round("log_likelihood", 1)) for df in (got, want))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
 def test_pages_with_nulls_and_repeats(frame):

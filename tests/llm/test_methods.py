@@ -26,6 +26,7 @@ from tallybook.llm import (
     queries,
     resample,
     suffix_dups,
+    textkit,
     warc,
 )
 
@@ -156,9 +157,11 @@ def test_quality_rules_query(run, texts):
 
 
 def test_quality_rules_follow_labels(run, spark):
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    """Good means of quality and harmless; the insults listed are English."""
+    rows = spark.read.parquet(f"{SMALL}/labels.parquet").collect()
+    labels = {r.doc_id: r.quality == 1 and r.toxic == 0 for r in rows}
     seen = [(r.kept, labels[r.doc_id]) for r in run("op2_quality_rules") if r.doc_id in labels]
-    right = sum(kept == bool(label) for kept, label in seen)
+    right = sum(kept == label for kept, label in seen)
     assert right >= 0.93 * len(seen)
 
 
@@ -539,14 +542,16 @@ def test_repeats_query(run, texts):
 
 def test_scores_by_brute_force():
     rng = np.random.default_rng(4)
-    vocabulary = lm_score.Vocabulary.of(rng.integers(0, 50, lm_score.BUCKETS).astype(float))
+    vocabulary = lm_score.Vocabulary.of(rng.integers(0, 50, 1 << 14).astype(float))
     net = lm_score.Network.start(np.ones(lm_score.CLASSES))
     texts = pa.array(["a b c d e f", None, "", "one", "x y z " * 900])
-    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), texts], ["doc_id", "text"])
-    got = next(lm_score._score([batch], vocabulary, net.flat)).to_pydict()
+    columns = [pa.array(range(5)), pa.array(range(5)), texts]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "text"])
+    hashed = next(lm_score._hashed([batch]))
+    got = next(lm_score._score([hashed], vocabulary, net.flat)).to_pydict()
     embed, hidden, weight, out = net.parts()
     for r, text in enumerate(texts.to_pylist()):
-        buckets = np.concatenate([b for _, _, b, _ in lm_score._ids(pa.array([text or ""]))])
+        buckets = np.array(hashed.column("words")[r].as_py(), np.int32).view(np.uint32) % (1 << 14)
         ids = vocabulary.classes[buckets].tolist()
         total = 0.0
         for i, c in enumerate(ids):
@@ -580,8 +585,9 @@ def test_gradient_by_differences():
 def test_training_beats_class_shares(docs):
     rng = random.Random(7)
     text = lambda: " ".join(f"a{k} b{k}" for k in (rng.randrange(40) for _ in range(400)))
-    vocabulary, net = lm_score.train(docs([text() for _ in range(1500)]).select("text"))
-    buckets, first = next((b, f) for _, _, b, f in lm_score._ids(pa.array([text()])))
+    vocabulary, net = lm_score.train(lm_score.keep_words(docs([text() for _ in range(1500)])))
+    words, _, _, first = textkit.word_hashes(*textkit.buffer_of(pa.array([text()])), lm_score._TABLE)
+    buckets = (words >> np.uint64(32)).astype(np.uint32) % np.uint32(len(vocabulary.classes))
     classes = vocabulary.classes[buckets].astype(int)
     logp = net.forward(lm_score.contexts(classes, first))[1][np.arange(len(classes)), classes]
     share = np.bincount(classes, minlength=lm_score.CLASSES) / len(classes)
@@ -642,3 +648,59 @@ def test_unequal_spans():
     at, size = np.array([0, 6, 0, 3]), np.array([3, 3, 6, 1])
     ref, ref_size = np.array([6, 6, 6, 9]), np.array([3, 2, 6, 1])
     assert packing.unequal(a, at, size, a, ref, ref_size).tolist() == [False, True, True, True]
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "GROUP_WORDS", 20_000)
+    monkeypatch.setattr(lm_score, "CHUNK_WORDS", 3_000)
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 999}" for _ in range(rng.randrange(300))) for _ in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    one, six = (
+        {r.doc_id: r.log_likelihood for r in lm_score.score(df.repartition(n)).collect()} for n in (1, 6)
+    )
+    assert one.keys() == six.keys() == set(range(600))
+    for i in one:
+        assert one[i] == pytest.approx(six[i], rel=1e-6, abs=1e-6)
+
+
+def test_every_word_is_a_target_once(monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm_score.Network, "gradient", lambda net, around, target: seen.append(target) or 0 * net.flat)
+    vocabulary = lm_score.Vocabulary.of(np.arange(1 << 14, dtype=float))
+    words = pa.array(list(range(1000)), pa.int32())
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0] * 10, pa.int64()), pa.ListArray.from_arrays(pa.array(range(0, 1001, 100), pa.int32()), words)],
+        ["group", "words"],
+    )
+    flat = lm_score.Network.start(np.ones(lm_score.CLASSES)).flat
+    for phases in (range(0, 4), range(4, 8)):
+        list(lm_score._train([batch], vocabulary, flat, phases))
+    assert sorted(np.concatenate(seen).tolist()) == sorted(vocabulary.classes[:1000].tolist())
+
+
+def test_the_vocabulary_grows():
+    sizes = [lm_score.n_buckets(n) for n in (0, 10**6, 10**8, 10**9, 10**12)]
+    assert sizes == sorted(sizes) and sizes[0] == 1 << 14 and sizes[2] < sizes[3] <= sizes[4] == 1 << 22
+
+
+def test_harmful_texts_go_though_they_are_well_written(spark):
+    good = "The committee met on Monday, and its members agreed on a plan for the next year. "
+    rude = "You are a pathetic loser, a worthless clown and a disgusting moron. "
+    rows = [(i, good * (3 + i % 5)) for i in range(400)]
+    rows += [(1000 + i, good * (2 + i % 3) + rude) for i in range(40)]
+    rows += [(2000, good * 40 + "What a stupid idea.")]
+    df = spark.createDataFrame([(i, f"Text {i}. {t}") for i, t in rows], "doc_id bigint, text string")
+    rules = [r for r in quality_rules.RULES if r.name != "repeats"]
+    p = {r.doc_id: r.p_good for r in quality_rules.apply_rules(df, rules).collect()}
+    assert all(p[i] < 0.5 for i in p if 1000 <= i < 2000)
+    assert all(p[i] >= 0.5 for i in p if i < 1000 or i == 2000)
+
+
+def test_the_share_of_good_documents_is_not_bounded(spark):
+    rng = random.Random(3)
+    junk = ["".join(rng.choices("#*$%&|", k=6)) + f" {i} @@ !! ??" for i in range(1900)]
+    fine = [f"This is a plain line of text about thing number {i}, and nothing else." for i in range(100)]
+    df = spark.createDataFrame(list(enumerate(junk + fine)), "doc_id bigint, text string")
+    voted = quality_rules.votes(quality_rules.measures(df))
+    assert quality_rules.fit(voted).prior < 0.2
