@@ -1,18 +1,21 @@
 """Masked pseudo-likelihood of documents under a window network trained here.
 
-Words are hashed into buckets, and buckets belong to classes: frequent ones alone, the others
-by frequency. A small network predicts the class of each word from the classes of the two
-words on either side; within a class a bucket has its corpus share. A document's score is the
-sum over all its words of the conditional log-probability.
-
-Counts cover all documents. The network is trained by parameter mixing: each task runs over
-its own documents from the common parameters, and the results are averaged by the number of
-words trained on. A round takes every ``STRIDE``-th word of all documents as a target, the next
-round others, and every word as context.
+Words are hashed into buckets, whose number grows with the corpus, and buckets belong to classes:
+frequent ones alone, the others by frequency. A small network predicts the class of each word from the
+classes of the two words on either side; within a class a bucket has its corpus share. A
+document's score is the sum over all its words of the conditional log-probability.
+
+Words are hashed once and kept as numbers. The network is trained by parameter mixing: documents
+are dealt by hash into groups of about as many words each, more of them in a larger corpus; each group is
+run through in a fixed order from the common parameters, and the results are averaged by the
+number of words trained on. Every word of every document is a target once: a round takes half of the
+places of each stretch of ``STRIDE`` words, the other round the rest. How the input is partitioned
+plays no part.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import partial
 
@@ -22,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import textkit
-from tallybook.llm.scratch import map_batches
+from tallybook.llm.scratch import keep, map_batches
 
-BUCKETS = 1 << 18
+BUCKET_WORDS = 256  # words of the corpus per bucket, as long as the bounds allow
+LEAST_BITS, MOST_BITS = 14, 22  # of the number of buckets; the upper one bounds the model's memory
 CLASSES = 256
 FREQUENT = 128  # classes of one bucket
 WIDTH = 24
@@ -34,6 +38,10 @@ STRIDE = 8
 ROUNDS = 2
 BATCH = 1024
 RATE = 0.1
+GROUP_WORDS = 1 << 21  # words of a mixing group
+CHUNK_WORDS = 1 << 18  # words worked on at a time, or one longer document
+
+_KEPT = "doc_id bigint, mark bigint, words array<int>"
 
 _TABLE = textkit.is_word_byte()
 
@@ -48,7 +56,7 @@ class Vocabulary:
     @classmethod
     def of(cls, counts: np.ndarray) -> Vocabulary:
         order = np.argsort(-counts, kind="stable")
-        classes = np.empty(BUCKETS, dtype=np.int16)
+        classes = np.empty(len(counts), dtype=np.int16)
         classes[order[:FREQUENT]] = np.arange(FREQUENT)
         tail = order[FREQUENT:]
         mass = np.cumsum(counts[tail] + 1.0)
@@ -111,11 +119,55 @@ class Network:
         )
 
 
-def _ids(column: pa.Array):
-    """Row range, bucket of each word and each row's first word."""
-    for low, high, data, offsets in textkit.chunks(column):
-        words, _, _, first = textkit.word_hashes(data, offsets, _TABLE)
-        yield low, high, (words % np.uint64(BUCKETS)).astype(np.int64), first
+def n_buckets(n_words: int) -> int:
+    """Number of buckets for a corpus of so many words, a power of two."""
+    bits = math.ceil(math.log2(max(n_words, 1) / BUCKET_WORDS)) if n_words > BUCKET_WORDS else 0
+    return 1 << min(max(bits, LEAST_BITS), MOST_BITS)
+
+
+def _hashed(batches):
+    """Each text's words as 32-bit hashes."""
+    for batch in batches:
+        for low, high, data, offsets in textkit.chunks(batch.column("text")):
+            words, _, _, first = textkit.word_hashes(data, offsets, _TABLE)
+            short = (words >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").slice(low, high - low),
+                    batch.column("mark").slice(low, high - low),
+                    pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(short)),
+                ],
+                ["doc_id", "mark", "words"],
+            )
+
+
+def keep_words(docs: DataFrame) -> DataFrame:
+    """doc_id, a mark that deals documents into groups, and the words as numbers; written once."""
+    text = F.col("text").cast("string")
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.xxhash64(F.col("doc_id").cast("bigint"), text).alias("mark"),
+        text.alias("text"),
+    )
+    return keep(map_batches(rows, _hashed, _KEPT), "words")
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Words of all rows as unsigned numbers, and the row offsets into them."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    values = column.values.to_numpy()[offsets[0] : offsets[-1]]
+    return values.view(np.uint32), offsets - offsets[0]
+
+
+def _row_chunks(column: pa.Array):
+    """Row range, words and row offsets of about ``CHUNK_WORDS`` words, or of one longer row."""
+    words, offsets = _lists(column)
+    low = 0
+    while low < len(column):
+        high = int(np.searchsorted(offsets, offsets[low] + CHUNK_WORDS, side="right")) - 1
+        high = min(max(high, low + 1), len(column))
+        yield low, high, words[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+        low = high
 
 
 def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -131,48 +183,87 @@ def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out + np.arange(len(AROUND)) * (CLASSES + 1)
 
 
-def _count(batches):
-    counts = np.zeros(BUCKETS, np.int64)
+def _count(batches, size: int):
+    counts = np.zeros(size, np.int64)
     for batch in batches:
-        for _, _, buckets, _ in _ids(batch.column("text")):
-            counts += np.bincount(buckets, minlength=BUCKETS)
+        words, _ = _lists(batch.column("words"))
+        counts += np.bincount(words % np.uint32(size), minlength=size)
     seen = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["bucket", "n"])
 
 
-def _train(batches, vocabulary: Vocabulary, flat: np.ndarray, phase: int):
-    """Adagrad from the common parameters over this task's texts."""
-    net = Network(flat.copy())
-    squares = np.full(len(flat), 1e-3, dtype=np.float32)
-    trained = 0
+def _group_chunks(batches):
+    """Group, words and row offsets of chunks that never cross a group; rows arrive sorted.
+
+    A chunk ends where it would without the other groups of the task.
+    """
+    group, parts, count = None, [], 0
+
+    def chunk():
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        return group, np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
+
     for batch in batches:
-        for _, _, buckets, first in _ids(batch.column("text")):
-            classes = vocabulary.classes[buckets].astype(np.int64)
-            around = contexts(classes, first)
+        words, offsets = _lists(batch.column("words"))
+        for r, g in enumerate(batch.column("group").to_pylist()):
+            if parts and (g != group or count >= CHUNK_WORDS):
+                yield chunk()
+                parts, count = [], 0
+            group = g
+            parts.append(words[offsets[r] : offsets[r + 1]].copy())
+            count += len(parts[-1])
+    if parts:
+        yield chunk()
+
+
+def _train(batches, vocabulary: Vocabulary, flat: np.ndarray, phases: range):
+    """Adagrad from the common parameters over each group's texts; sums over the task's groups."""
+    total, weight = np.zeros(len(flat)), 0
+    group, net, squares, trained = None, None, None, 0
+    size = np.uint32(len(vocabulary.classes))
+
+    def close():
+        nonlocal total, weight
+        if trained:
+            total += net.flat.astype(np.float64) * trained
+            weight += trained
+
+    for g, words, first in _group_chunks(batches):
+        if g != group:
+            close()
+            group, trained = g, 0
+            net = Network(flat.copy())
+            squares = np.full(len(flat), 1e-3, dtype=np.float32)
+        classes = vocabulary.classes[words % size].astype(np.int64)
+        around = contexts(classes, first)
+        for phase in phases:
             # Targets of a step lie far apart, so a step mixes texts.
             at = np.arange(phase, len(classes), STRIDE)
-            for part in range(-(-len(at) // BATCH)):
-                pick = at[part :: -(-len(at) // BATCH)]
-                g = net.gradient(around[pick], classes[pick])
-                squares += g * g
-                net.flat -= RATE * g / np.sqrt(squares)
+            steps = -(-len(at) // BATCH)
+            for part in range(steps):
+                pick = at[part::steps]
+                slope = net.gradient(around[pick], classes[pick])
+                squares += slope * slope
+                net.flat -= RATE * slope / np.sqrt(squares)
                 trained += len(pick)
-    if trained:
+    close()
+    if weight:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.arange(len(flat))),
-                pa.array(net.flat.astype(np.float64) * trained),
-                pa.array(np.full(len(flat), trained)),
+                pa.array(total),
+                pa.array(np.full(len(flat), weight)),
             ],
             ["at", "total", "weight"],
         )
 
 
 def _score(batches, vocabulary: Vocabulary, flat: np.ndarray):
-    net = Network(flat)
+    net, size = Network(flat), np.uint32(len(vocabulary.classes))
     for batch in batches:
         total, count = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-        for low, high, buckets, first in _ids(batch.column("text")):
+        for low, high, words, first in _row_chunks(batch.column("words")):
+            buckets = words % size
             classes = vocabulary.classes[buckets].astype(np.int64)
             around = contexts(classes, first)
             logp = vocabulary.inner[buckets].astype(np.float64)
@@ -189,19 +280,33 @@ def _score(batches, vocabulary: Vocabulary, flat: np.ndarray):
         )
 
 
-def train(texts: DataFrame) -> tuple[Vocabulary, Network]:
-    """Vocabulary and network of a corpus. What the driver gathers has a fixed size."""
-    counts = np.zeros(BUCKETS)
-    totals = map_batches(texts, _count, "bucket bigint, n bigint").groupBy("bucket")
-    for r in totals.agg(F.sum("n").alias("n")).collect():
-        counts[r["bucket"]] = r["n"]
+def train(kept: DataFrame) -> tuple[Vocabulary, Network]:
+    """Vocabulary and network of a corpus, from ``keep_words``.
+
+    The driver gathers a count per bucket, whose number is bounded, and the network.
+    """
+    n_words = kept.agg(F.coalesce(F.sum(F.size("words").cast("bigint")), F.lit(0))).first()[0]
+    size = n_buckets(n_words)
+    counted = map_batches(kept.select("words"), partial(_count, size=size), "bucket bigint, n bigint")
+    totals = counted.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(size)
+    counts[totals.column("bucket").to_numpy()] = totals.column("n").to_numpy()
     vocabulary = Vocabulary.of(counts)
     net = Network.start(np.bincount(vocabulary.classes, counts, minlength=CLASSES))
+    groups = max(1, -(-n_words // GROUP_WORDS))
+    dealt = (
+        kept.where(F.size("words") > 0)
+        .withColumn("group", F.pmod("mark", F.lit(groups)))
+        .repartition("group")
+        .sortWithinPartitions("group", "mark", "doc_id")
+        .select("group", "words")
+    )
     for step in range(ROUNDS):
+        phases = range(step * STRIDE // ROUNDS, (step + 1) * STRIDE // ROUNDS)
         mixed = (
             map_batches(
-                texts,
-                partial(_train, vocabulary=vocabulary, flat=net.flat, phase=step * STRIDE // ROUNDS),
+                dealt,
+                partial(_train, vocabulary=vocabulary, flat=net.flat, phases=phases),
                 "at bigint, total double, weight bigint",
             )
             .groupBy("at")
@@ -219,13 +324,14 @@ def score(docs: DataFrame) -> DataFrame:
     """Train on all documents and score each: words, log-likelihood and its mean per word.
 
     docs needs ``doc_id`` and ``text``; other columns are ignored. Words are white-space words
-    in lower case. A null or empty text has no words, a score of 0 and a null mean. Repeated rows
-    score alike; an empty table gives no rows.
+    in lower case, of whole texts. A null or empty text has no words, a score of 0 and a null mean.
+    Repeated rows are each trained on and score alike, ties and their order play no part; an empty
+    table gives no rows.
     """
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    vocabulary, net = train(texts.select("text"))
+    kept = keep_words(docs)
+    vocabulary, net = train(kept)
     scored = map_batches(
-        texts,
+        kept.select("doc_id", "words"),
         partial(_score, vocabulary=vocabulary, flat=net.flat),
         "doc_id bigint, n_words bigint, log_likelihood double",
     )
