@@ -6,10 +6,12 @@ same place. So each start of a string belongs to one anchor, and only anchors wi
 to their right are compared.
 
 Anchors whose whole context (all strings that belong to them) occurs twice are repeated from end
-to end; those are counted, not gathered. Of the others, the contexts with equal right sides
+to end; those are counted, not gathered: by a polynomial hash, verified by a cryptographic digest of
+their bytes, which does not share its collisions. Of the others, the contexts with equal right sides
 are suffix-sorted: a mergesort whose comparisons find the common extension by binary search over
 prefix polynomial hashes, and whose findings are compared byte by byte. A right side with very
-many different contexts is not sorted in one task: the hashes of its strings are counted.
+many different contexts is not sorted in one task: its strings are counted by such a pair of hash
+and digest.
 """
 
 from __future__ import annotations
@@ -34,7 +36,6 @@ RIGHT = LENGTH - WINDOW  # bytes from the anchor on that every string of it hold
 SORTED_CONTEXTS = 2_000  # contexts of one right side that a task sorts
 PAIRED_CONTEXTS = 24  # contexts compared pair by pair
 
-_SECOND = textkit.numbers(256, 8)
 _ANCHORS = (
     "doc_id bigint, key bigint, low int, high int, anchor int, right bigint, one bigint, two bigint"
 )
@@ -57,6 +58,14 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit cryptographic digest of each byte span."""
+    raw = memoryview(data.tobytes())
+    spans = zip(starts.tolist(), ends.tolist(), strict=True)
+    joined = b"".join(hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in spans)
+    return np.frombuffer(joined, dtype="<u8").astype(np.uint64)
+
+
 def find_anchors(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """Anchors of all rows: row, first and last start, anchor (in the row), and three hashes."""
     lengths = np.diff(offsets)
@@ -65,7 +74,7 @@ def find_anchors(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]
     if not long.any():
         names = ("row", "low", "high", "anchor", "right", "one", "two")
         return dict.fromkeys(names, none)
-    first, second = textkit.prefix_hashes(data), textkit.prefix_hashes(data, _SECOND)
+    first = textkit.prefix_hashes(data)
     at = np.arange(len(data) - GRAM + 1)
     grams = textkit.span_hashes(first, at, at + GRAM)
     place = np.uint64(0xFFFFFFFF) - at.astype(np.uint64)
@@ -85,7 +94,7 @@ def find_anchors(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]
     found = {
         "right": textkit.span_hashes(first, anchor, anchor + RIGHT),
         "one": textkit.span_hashes(first, low, high + LENGTH) + shape,
-        "two": textkit.span_hashes(second, low, high + LENGTH) ^ shape,
+        "two": digests(data, low, high + LENGTH) ^ shape,
     }
     base = offsets[row]
     return {"row": row, "low": low - base, "high": high - base, "anchor": anchor - base} | {
@@ -267,16 +276,14 @@ def _mark_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _string_hashes(batches):
-    """Two hashes of every string of a context, for counting."""
+    """Hash and digest of every string of a context, for counting."""
     for batch in batches:
         parts = []
         for r in range(batch.num_rows):
             data = np.frombuffer(batch.column("bytes")[r].as_py(), dtype=np.uint8)
             start = np.arange(len(data) - LENGTH + 1)
-            one, two = (
-                textkit.span_hashes(textkit.prefix_hashes(data, v), start, start + LENGTH)
-                for v in (None, _SECOND)
-            )
+            one = textkit.span_hashes(textkit.prefix_hashes(data), start, start + LENGTH)
+            two = digests(data, start, start + LENGTH)
             parts.append((np.full(len(start), r), start, one, two))
         row, start, one, two = (
             np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64)
