@@ -17,27 +17,49 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weighed quality rules keep."""
+    """Documents that the weighed quality rules keep, with all their columns.
+
+    Null and empty texts are too short and go; long texts are judged whole. Repeated rows, and rows
+    that tie in all measures, stay or go together. An empty table gives no rows.
+    """
     return keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, with all its columns.
+
+    Of a group the row of the least doc_id stays, null last, and of rows that share an id the first as
+    they are numbered. All null, empty and blank texts are one group; long texts are compared whole. An
+    empty table gives no rows.
+    """
     return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that repeat no benchmark item."""
+    """Documents that repeat no benchmark item, with all their columns.
+
+    Null and empty texts repeat nothing and stay, as all do where the benchmark is empty. Every place of a
+    long text counts. Repeated rows stay or go together. An empty table gives no rows.
+    """
     return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind."""
+    """Documents with personal data replaced by its kind; every row stays, with all its columns.
+
+    A null text stays null and an empty one empty; long texts are searched whole. Repeated rows change
+    alike; spans of equal start go in the order of their kinds. An empty table gives no rows.
+    """
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens, placed in sequences."""
+    """Pieces of the documents' tokens, placed in sequences; the last stage, with columns of its own.
+
+    A null or empty text is one end token; long texts are cut over several sequences. Repeated rows are
+    each packed; which of equal pieces goes where is settled by their order of id and start. An
+    empty table gives no rows.
+    """
     return pack(docs, tokenizer_path())
 
 
