@@ -364,7 +364,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that repeat no benchmark item, with all their columns, row by row."""
+    """The documents that repeat no benchmark item, with all their columns, row by row.
+
+    Null and empty texts and items repeat nothing; a place as similar as the threshold counts. Long texts
+    are looked at whole, repeated rows stay or go together. Without items all documents stay; an
+    empty table gives no rows.
+    """
     text = "__text"
     while text in docs.columns:
         text += "_"

@@ -356,7 +356,12 @@ def _named(ids: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each class, with all its columns: that of the least doc_id, then any one."""
+    """One row of each class, with all its columns: that of the least doc_id, null last.
+
+    Classes are those of ``near_duplicates``, for null, empty, long and repeated texts too. Of rows that
+    share the least id the first stays, as rows are numbered when they are first written. An empty
+    table gives no rows.
+    """
     row = "__row"
     while row in docs.columns:
         row += "_"

@@ -245,8 +245,10 @@ def find_pii(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind in brackets.
 
-    Columns and rows stay; overlapping spans become one, under the kind that starts first.
-    ``n_chars``, if there is one, is counted anew for changed texts.
+    Columns and rows stay; overlapping spans become one, under the kind that starts first, and of
+    those that start together under the one that ends first. ``n_chars``, if there is one, is counted
+    anew for changed texts. Null and empty texts stay as they are, long ones are searched whole, repeated
+    rows change alike, and an empty table gives no rows.
     """
     rows = _with_contexts(keep(scan(docs, carry=True), "pii"))
     spans = F.sort_array(
