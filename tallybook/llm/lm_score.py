@@ -96,18 +96,34 @@ class Network:
             at += n
         return views
 
+    def _logits(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        embed, hidden, weight, out = self.parts()
+        h = embed[context[:, 0]]
+        for j in range(1, context.shape[1]):
+            h += embed[context[:, j]]
+        h += hidden
+        np.tanh(h, out=h)
+        logits = h @ weight
+        logits += out
+        return h, np.clip(logits, -30, 30, out=logits)
+
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and class log-probabilities; context rows index the embeddings."""
-        embed, hidden, weight, out = self.parts()
-        h = np.tanh(sum(embed[context[:, j]] for j in range(context.shape[1])) + hidden)
-        logits = np.clip(h @ weight + out, -30, 30)
+        h, logits = self._logits(context)
         return h, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
+    def of_targets(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log-probabilities of the targets alone."""
+        _, logits = self._logits(context)
+        chosen = logits[np.arange(len(target)), target].copy()
+        return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
+
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of the mean negative log-probability of the targets."""
         embed, _, weight, _ = self.parts()
-        h, logp = self.forward(context)
-        d = np.exp(logp)
+        h, d = self._logits(context)
+        np.exp(d, out=d)
+        d /= d.sum(axis=1, keepdims=True)
         d[np.arange(len(target)), target] -= 1
         d /= len(target)
         dh = (d @ weight.T) * (1 - h * h)
@@ -269,8 +285,7 @@ def _score(batches, vocabulary: Vocabulary, flat: np.ndarray):
             logp = vocabulary.inner[buckets].astype(np.float64)
             for a in range(0, len(classes), 2 * BATCH):
                 b = min(a + 2 * BATCH, len(classes))
-                _, all_ = net.forward(around[a:b])
-                logp[a:b] += all_[np.arange(b - a), classes[a:b]]
+                logp[a:b] += net.of_targets(around[a:b], classes[a:b])
             row = np.repeat(np.arange(high - low), np.diff(first))
             total[low:high] = np.bincount(row, logp, minlength=high - low)
             count[low:high] = np.diff(first)
