@@ -99,7 +99,9 @@ def csv_append(spark, sf_dir):
     positive = F.col("c_acctbal") >= 0
     for name, part, mode in (("a", positive, "overwrite"), ("b", ~positive, "append")):
         reports.write_format(customers.filter(part), f"{source}/{name}", "csv")
-        new = reports.read_csv_report(spark, f"{source}/{name}", customers.schema)
+        new = reports.read_csv_report(
+            spark, f"{source}/{name}", customers.schema, multi_line=False
+        )
         reports.load_report(new, target, mode)
     return spark.read.parquet(target)
 
@@ -176,3 +178,22 @@ def date_partitioned_sink(spark, sf_dir):
     parts = "year string, month string, day string"
     declared = ", ".join(f"`{c}` {kind}" for c, kind in events.dtypes)
     return spark.read.schema(f"{declared}, {parts}").parquet(path)
+
+
+@query(
+    "report_locations",
+    """SELECT e.environment, n.* FROM nation n,
+       (SELECT UNNEST(['dev', 'staging', 'prod']) AS environment) e
+       WHERE e.environment = 'prod' OR n.n_regionkey < 2""",
+)
+def report_locations(spark, sf_dir):
+    """One report per environment, each below its own folder of the same root."""
+    root, nation = session.scratch_path(spark, "reports"), table(spark, sf_dir, "nation")
+    rows = None
+    for environment in reports.ENVIRONMENTS:
+        part = nation if environment == "prod" else nation.where("n_regionkey < 2")
+        reports.load_report(part, f"{root}/nation.parquet/", environment=environment)
+        back = spark.read.parquet(reports.report_path(root, environment, "nation.parquet"))
+        back = back.select(F.lit(environment).alias("environment"), "*")
+        rows = back if rows is None else rows.unionByName(back)
+    return rows

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallybook import session
+from tallybook import schema, session
 from tallybook.catalog.base import query, visit_events
 from tallybook.operators import validation
 from tallybook.plans import incremental
-from tallybook.plans.report_views import ReportCounts
+from tallybook.plans.report_views import ColumnProfiles, ReportCounts
 from tallybook.sources.ledger_store import LedgerStore
 from tallybook.streaming import visit_state
 
@@ -119,3 +119,32 @@ def kept_pass_rate(spark, sf_dir):
 @query("kept_packets", "SELECT DISTINCT packet FROM kept WHERE packet IS NOT NULL", **_RUNS)
 def kept_packets(spark, sf_dir):
     return _three_runs(spark, sf_dir).values("packet")
+
+
+_TEXT_COLUMNS = [c for c in schema.LEDGER_COLUMNS if c != "timestamp"]
+
+
+@query(
+    "kept_profile",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_nulls,
+        MIN(CAST({c} AS VARCHAR)) AS least, MAX(CAST({c} AS VARCHAR)) AS greatest,
+        TRUE AS estimate_is_near FROM kept"""
+        for c in _TEXT_COLUMNS
+    ),
+    **_RUNS,
+)
+def kept_profile(spark, sf_dir):
+    """Column profiles merged from three runs; the estimate is held against an exact count."""
+    store = _three_runs(spark, sf_dir).store
+    kept = ColumnProfiles(store)
+    kept.refresh()
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact"))
+        for c in _TEXT_COLUMNS
+    ]
+    exact = store.events().agg(F.array(*cells).alias("c")).select(F.inline("c"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.col("exact") * 0.05, F.lit(1))
+    return kept.current().join(exact, "column_name").select(
+        "column_name", "n_rows", "n_nulls", "least", "greatest", near.alias("estimate_is_near")
+    )

@@ -11,8 +11,8 @@ from tallybook.catalog.base import query, visit_events
 from tallybook.catalog.ingest import EXPECTED_ERRORS, EXPECTED_VALID, ledger_view, raw_events
 from tallybook.operators import counts, filters, validation
 from tallybook.plans import incremental, landing_run
-from tallybook.sources import event_files, landing
-from tallybook.sources.ledger_store import LedgerStore, load_ledger, save_ledger
+from tallybook.sources import event_files, folders, landing
+from tallybook.sources.ledger_store import LedgerStore, load_ledger, save_ledger, template_key
 from tallybook.streaming import event_stream
 
 _CUT = "2024-01-16 00:00:00"
@@ -135,6 +135,37 @@ def sql_center_action(spark, sf_dir):
     )
 
 
+@query(
+    "ledger_clustered",
+    f"""SELECT {_LEDGER} FROM visit_events WHERE project_label NOT LIKE 'sandbox-%'
+        AND center_label = 'center05' AND timestamp >= TIMESTAMP '{_CUT}'""",
+)
+def ledger_clustered(spark, sf_dir):
+    """One center from a day on, from a compact store laid out along time and center."""
+    store = _fresh_store(spark)
+    for half in (0, 1):
+        part = _production(spark, sf_dir).where(F.col("event_id") % 2 == half)
+        store.append(part, f"run{half}")
+    compact = store.rewrite(session.scratch_path(spark, "compact"), files=16)
+    picked = filters.by_center(compact.events(), "center05")
+    return ledger_view(picked.where(F.col("timestamp") >= F.lit(_CUT).cast("timestamp")))
+
+
+_FEW = ("110007", "110042", "110013", "119999")
+
+
+@query(
+    "participant_lookup",
+    f"""SELECT {_LEDGER} FROM visit_events WHERE project_label NOT LIKE 'sandbox-%'
+        AND ptid IN {_FEW}""",
+)
+def participant_lookup(spark, sf_dir):
+    """Events of four participants from a stored ledger, through its Bloom filters."""
+    store = _fresh_store(spark)
+    store.append(_production(spark, sf_dir), "first")
+    return ledger_view(store.events_of(_FEW))
+
+
 # --- watermarks -----------------------------------------------------------------------
 
 _EARLY_MARKS = f"""SELECT study, datatype, MAX(timestamp) AS watermark FROM visit_events
@@ -255,6 +286,64 @@ def run_status(spark, sf_dir):
     return incremental.overall_status(result.groups)
 
 
+class _OneLedgerFails(LedgerStore):
+    """A store that runs out of space in the middle of one ledger."""
+
+    def append(self, rows: DataFrame, run_id: str) -> int:
+        last = (F.col("study") == "leads") & (F.col("datatype") == "dicom")
+        error = F.raise_error(F.lit("no space left")).cast("string")
+        return super().append(
+            rows.withColumn("study", F.when(last, error).otherwise(F.col("study"))), run_id
+        )
+
+
+@query(
+    "run_partial",
+    """SELECT study, datatype, COUNT(*) AS new_events,
+       CASE WHEN study = 'leads' AND datatype = 'dicom' THEN 'failed' ELSE 'saved' END AS status,
+       CASE WHEN study = 'leads' AND datatype = 'dicom' THEN 0 ELSE COUNT(*) END AS stored,
+       TRUE AS says_why, 'partial' AS run_status
+       FROM production GROUP BY study, datatype""",
+    expected_valid=EXPECTED_VALID,
+    production=_RUN_TABLES["production"],
+)
+def run_partial(spark, sf_dir):
+    """A run in which one ledger cannot be written: the others are saved, and the run says so."""
+    store = _OneLedgerFails(spark, session.scratch_path(spark, "ledgers"))
+    result = incremental.run_incremental(raw_events(spark, sf_dir), store, "only")
+    stored = store.marks().select(*schema.GROUP_KEY, F.col("event_count").alias("stored"))
+    return result.groups.join(stored, list(schema.GROUP_KEY), "left").select(
+        *schema.GROUP_KEY,
+        "new_events",
+        "status",
+        F.coalesce("stored", F.lit(0)).cast("bigint").alias("stored"),
+        F.coalesce(F.col("error").contains("no space left"), F.lit(False)).alias("says_why"),
+        F.lit(result.status).alias("run_status"),
+    )
+
+
+@query(
+    "ledger_exists",
+    """SELECT s.study, d.datatype, EXISTS (SELECT 1 FROM visit_events e WHERE e.study = s.study
+         AND e.datatype = d.datatype AND e.project_label NOT LIKE 'sandbox-%') AS present
+       FROM (SELECT DISTINCT study FROM visit_events) s,
+            (SELECT UNNEST(['form', 'dicom', 'apoe']) AS datatype) d""",
+)
+def ledger_exists(spark, sf_dir):
+    """Whether each study has a ledger of each of three datatypes: one probe per path."""
+    store = _fresh_store(spark)
+    store.append(_production(spark, sf_dir), "first")
+    target, template = session.scratch_path(spark, "exported"), "{study}/{datatype}/events.parquet"
+    store.export(target, template)
+    studies = [r["study"] for r in visit_events(spark, sf_dir).select("study").distinct().collect()]
+    rows = [
+        (s, d, folders.exists(spark, f"{target}/{template_key(template, s, d)}"))
+        for s in studies
+        for d in ("form", "dicom", "apoe")
+    ]
+    return spark.createDataFrame(rows, "study string, datatype string, present boolean")
+
+
 @query(
     "rerun_noop",
     """SELECT 1 AS committed_runs, study, datatype, CAST(0 AS BIGINT) AS new_events,

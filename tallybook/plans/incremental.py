@@ -116,8 +116,8 @@ def run_incremental(
     groups = stage(spark, groups, f"{staging}/groups")
     expected = groups.agg(F.coalesce(F.sum("new_events"), F.lit(0))).first()[0]
     fresh = split.filter("is_new").drop("is_new", "source_key")
-    failures = _append(fresh, store, run_id, expected, groups)
-    outcome = _group_rows(groups, failures)
+    failures, reason = _append(fresh, store, run_id, expected, groups)
+    outcome = _group_rows(groups, failures, reason)
     return RunResult(
         run_id=run_id,
         status=overall_status(outcome).first()["status"] if failures else OK,
@@ -131,22 +131,24 @@ def run_incremental(
 
 def _append(
     fresh: DataFrame, store: LedgerStore, run_id: str, expected: int, groups: DataFrame
-) -> dict[tuple[str, str], str]:
+) -> tuple[dict[tuple[str, str], str], str | None]:
     """Append all ledgers in one job; if that fails, one by one.
 
-    Returns the error text per failed ledger. A repeated run id continues where it
+    Returns the error text per failed ledger, and why the one job failed. A repeated run id continues where it
     stopped: ledgers that were saved one by one stay saved and are not added again.
     """
+    reason = None
     if expected == 0:
-        return {}
+        return {}, reason
     one_by_one = store.committed_parts(run_id)
     if not one_by_one:
         try:
             _append_exactly(fresh, store, run_id, expected)
-            return {}
-        except Exception:
+            return {}, reason
+        except Exception as e:
             if store.is_committed(run_id):
                 raise
+            reason = str(e).split("\n")[0]
     failures = {}
     for group in groups.filter("new_events > 0").toLocalIterator():
         mine = fresh.filter(
@@ -157,7 +159,7 @@ def _append(
             _append_exactly(mine, store, part, group.new_events)
         except Exception as e:
             failures[(group.study, group.datatype)] = str(e).split("\n")[0]
-    return failures
+    return failures, reason
 
 
 def _append_exactly(rows: DataFrame, store: LedgerStore, run_id: str, expected: int) -> None:
@@ -166,17 +168,28 @@ def _append_exactly(rows: DataFrame, store: LedgerStore, run_id: str, expected:
         raise RuntimeError(f"run {run_id} holds {written} rows, expected {expected}")
 
 
-def _group_rows(groups: DataFrame, failures: dict) -> DataFrame:
-    """Group counts with status; unchanged ledgers are 'unchanged'."""
+def _group_rows(groups: DataFrame, failures: dict, reason: str | None = None) -> DataFrame:
+    """Group counts with status; unchanged ledgers are 'unchanged'.
+
+    A ledger that had to be saved by itself keeps why the job for all of them failed.
+    """
     failed = groups.sparkSession.createDataFrame(
         [(s, d, e) for (s, d), e in failures.items()],
-        "study string, datatype string, error string",
+        "study string, datatype string, failure string",
     )
-    return groups.join(failed, list(schema.GROUP_KEY), "left").withColumn(
-        "status",
-        F.when(F.col("error").isNotNull(), "failed")
-        .when(F.col("new_events") == 0, "unchanged")
-        .otherwise("saved"),
+    is_new = F.col("new_events") > 0
+    return (
+        groups.join(failed, list(schema.GROUP_KEY), "left")
+        .withColumn(
+            "error", F.coalesce("failure", F.when(is_new, F.lit(reason).cast("string")))
+        )
+        .withColumn(
+            "status",
+            F.when(F.col("failure").isNotNull(), "failed")
+            .when(is_new, "saved")
+            .otherwise("unchanged"),
+        )
+        .drop("failure")
     )
 
 

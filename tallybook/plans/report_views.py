@@ -10,9 +10,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallybook import schema
+from tallybook.operators import profiles
 from tallybook.sources.ledger_store import LedgerStore
 
 DIMENSIONS = (*schema.GROUP_KEY, "center_label", "module", "packet", "action")
@@ -115,3 +116,28 @@ class ReportCounts:
                 "pass_rate", F.col("passed").cast("double") / (F.col("passed") + F.col("not_passed"))
             )
         )
+
+
+class ColumnProfiles:
+    """Column profiles of one store, kept per run."""
+
+    KIND = "profiles"
+
+    def __init__(self, store: LedgerStore):
+        self.store = store
+
+    def refresh(self) -> int:
+        """Profile the runs that have no profile yet; returns how many."""
+        have = set(self.store.finished_runs(self.KIND))
+        missing = [r for r in self.store.committed_runs() if r not in have]
+        for run in missing:
+            rows = self.store.events(runs=[run])
+            self.store.set_aside(self.KIND, profiles.profile(rows), run)
+        return len(missing)
+
+    def current(self) -> DataFrame:
+        """One row per ledger column, over all profiled runs."""
+        runs = self.store.finished_runs(self.KIND)
+        columns = T.StructType.fromDDL(profiles.COLUMNS)
+        parts = self.store.aside_runs(self.KIND, runs, columns)
+        return profiles.estimates(profiles.merge_profiles(parts))

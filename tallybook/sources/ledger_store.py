@@ -22,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tallybook import schema
+from tallybook.operators.clustering import clustered
 from tallybook.operators.validation import conform
 from tallybook.sources import folders
 
@@ -34,6 +35,12 @@ MARKS = T.StructType(
     ]
 )
 _PART = "~part-"
+# Each row group tells which participants it cannot hold; the filter's size follows their number.
+_BLOOM = {
+    "parquet.bloom.filter.enabled#ptid": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+}
+LOOKED_UP = 10  # participants that a scan's filter can name; Spark pushes no longer lists as equalities
 _BY = {"by_study": "study", "by_datatype": "datatype"}
 
 
@@ -138,6 +145,15 @@ class LedgerStore:
             )
         return rows.select(*schema.LEDGER_COLUMNS)
 
+    def events_of(self, ptids: Sequence[str], **ledger: str) -> DataFrame:
+        """Events of a few participants; row groups whose Bloom filter knows none are not read.
+
+        For more than ``LOOKED_UP`` join with ``joins.null_safe_semi`` instead.
+        """
+        if not 0 < len(ptids) <= LOOKED_UP:
+            raise ValueError(f"name 1 to {LOOKED_UP} participants, or join with a table of them")
+        return self.events(**ledger).filter(F.col("ptid").isin(*ptids))
+
     def create_view(self, name: str) -> None:
         """Offer the committed ledger rows to SQL."""
         self.events().createOrReplaceTempView(name)
@@ -159,7 +175,7 @@ class LedgerStore:
             F.sum("event_count").alias("event_count"),
         )
 
-    def append(self, rows: DataFrame, run_id: str) -> int:
+    def append(self, rows: DataFrame, run_id: str, files: int | None = None) -> int:
         """Add rows as one run and return how many there are.
 
         A committed run id is not written again: with the same rows, or none, nothing
@@ -167,18 +183,21 @@ class LedgerStore:
 
         Rows are rebalanced by ledger: small ledgers share tasks, and a ledger holding
         most of the rows is split over many. Each file is sorted by time, so row-group
-        statistics prune time ranges.
+        statistics prune time ranges. With ``files``, rows are laid out over about as many ranges
+        along a curve through time and center instead, so filters on either leave files out.
         """
         path = self._run_path("events", run_id)
         if self.is_committed(run_id):
             _require_same(conform(rows), self.events(runs=[run_id]), run_id)
         else:
+            placed = conform(rows).withColumns({by: F.col(c) for by, c in _BY.items()})
+            if files is None:
+                laid = placed.hint("rebalance", *_BY).sortWithinPartitions(*_BY, "timestamp")
+            else:
+                laid = clustered(placed, "timestamp", "center_label", files, list(_BY))
             (
-                conform(rows)
-                .withColumns({by: F.col(c) for by, c in _BY.items()})
-                .hint("rebalance", *_BY)
-                .sortWithinPartitions(*_BY, "timestamp")
-                .write.mode("overwrite")
+                laid.write.mode("overwrite")
+                .options(**_BLOOM)
                 .partitionBy(*_BY)
                 .parquet(path)
             )
@@ -210,12 +229,17 @@ class LedgerStore:
             return self.spark.createDataFrame([], columns)
         return self.spark.read.schema(columns).parquet(*[self._run_path(kind, r) for r in runs])
 
-    def rewrite(self, target_root: str, run_id: str = "rewrite") -> LedgerStore:
-        """Copy all committed rows into a fresh store as one run, and check the count."""
+    def rewrite(
+        self, target_root: str, run_id: str = "rewrite", files: int | None = None
+    ) -> LedgerStore:
+        """Copy all committed rows into a fresh store as one run, and check the count.
+
+        With ``files``, the copy is clustered by time and center over about so many files.
+        """
         if folders.exists(self.spark, target_root):
             raise ValueError(f"{target_root} already exists; rewrite needs a fresh folder")
         target = LedgerStore(self.spark, target_root)
-        written = target.append(self.events(), run_id)
+        written = target.append(self.events(), run_id, files)
         expected = self.marks().agg(F.coalesce(F.sum("event_count"), F.lit(0))).first()[0]
         if written != expected:
             raise RuntimeError(f"rewrote {written} rows of {expected}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallybook.functions.text import closes_early
-from tallybook.operators.validation import json_text, json_type
+from tallybook.operators.validation import json_text, json_type, once
 
 # --- fixed values: notice shapes and routes -----------------------------------------
 OBJECT_NOTICE = (
@@ -162,7 +162,8 @@ def run_tasks(messages: DataFrame) -> DataFrame:
     Adds task_id, task_type, priority (default 1), status and error. A body that is
     not a task object and a task of unknown type fail; the others succeed.
     """
-    body = F.try_parse_json("body")
+    messages = messages.select("*", once(F.try_parse_json("body")).alias("__task"))
+    body = F.col("__task")
 
     def field(name: str) -> Column:
         return F.try_variant_get(body, f"$.{name}", "variant")
@@ -186,7 +187,7 @@ def run_tasks(messages: DataFrame) -> DataFrame:
             "error": error,
             "status": F.when(error.isNull(), "success").otherwise("error"),
         }
-    )
+    ).drop("__task")
 
 
 def failed_messages(tasks: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import event, ledger_frame
-from tallybook.operators import visits
+from tallybook.operators import profiles, visits
 from tallybook.plans import incremental
-from tallybook.plans.report_views import DIMENSIONS, ReportCounts
+from tallybook.plans.report_views import DIMENSIONS, ColumnProfiles, ReportCounts
 from tallybook.sources.ledger_store import LedgerStore
 from tallybook.streaming import visit_state
 
@@ -135,3 +135,36 @@ def test_reports_read_no_ledger_rows(spark, store, basic):
     kept.refresh()
     files = kept.by("action").inputFiles()
     assert files and all("/counts/" in f for f in files)
+
+
+def test_profiles_of_parts_are_the_profile_of_the_whole(spark):
+    rows = [(i, f"v{i % 5000}", None if i % 7 == 0 else i % 3) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "id bigint, name string, kind int")
+    parts = [profiles.profile(df.where(f"id % 4 = {k}")) for k in range(4)]
+    merged_ = parts[0]
+    for part in parts[1:]:
+        merged_ = merged_.unionByName(part)
+    got = {r["column_name"]: r for r in profiles.estimates(profiles.merge_profiles(merged_)).collect()}
+    whole = {r["column_name"]: r for r in profiles.estimates(profiles.profile(df)).collect()}
+    for c, exact, nulls in (("id", 20_000, 0), ("name", 5000, 0), ("kind", 3, 2858)):
+        assert (got[c]["n_rows"], got[c]["n_nulls"]) == (20_000, nulls)
+        assert (got[c]["least"], got[c]["greatest"]) == (whole[c]["least"], whole[c]["greatest"])
+        for seen in (got, whole):
+            assert abs(seen[c]["n_distinct"] - exact) <= max(0.05 * exact, 0)
+
+
+def test_profiles_are_kept_per_run(spark, store, basic):
+    kept = ColumnProfiles(store)
+    assert kept.current().count() == 0
+    for run in ("r1", "r2"):
+        store.append(basic, run)
+        assert kept.refresh() == 1
+    assert kept.refresh() == 0
+    row = kept.current().where("column_name = 'action'").first()
+    assert (row["n_rows"], row["n_nulls"], row["n_distinct"]) == (12, 0, 4)
+    assert all("/profiles/" in f for f in kept.current().inputFiles())
+
+
+def test_profile_of_no_rows(spark, basic):
+    rows = profiles.estimates(profiles.profile(basic.limit(0), ["action", "packet"])).collect()
+    assert [(r["n_rows"], r["n_nulls"], r["least"], r["n_distinct"]) for r in rows] == [(0, 0, None, 0)] * 2

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_points
-from frames import SMALL
+from frames import SMALL, event, ledger_frame
 from tallybook import session
 from tallybook.catalog.base import visit_events
 from tallybook.operators import counts, filters, visits
@@ -96,3 +96,34 @@ def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
     session.clear_scratch(spark)
     assert not folders.exists(spark, path)
     assert folders.exists(spark, str(tmp_path))
+
+
+def _rows_read(df):
+    """Rows that the scans of an executed frame gave out, without adaptive execution."""
+    df.collect()
+
+    def walk(node):
+        if "Scan" in node.nodeName():
+            yield node.metrics().apply("numOutputRows").value()
+        for i in range(node.children().size()):
+            yield from walk(node.children().apply(i))
+
+    return sum(walk(df._jdf.queryExecution().executedPlan()))
+
+
+def test_lookup_skips_row_groups_by_bloom_filter(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path / "ledgers"))
+    for run in range(4):  # least and greatest ptid are alike everywhere, so statistics skip nothing
+        names = ["A0000", "Z9999", *[f"M{i:04d}" for i in range(run, 4000, 4)]]
+        rows = [event(ptid=n, at=f"2024-01-15 10:{i % 60:02d}") for i, n in enumerate(names)]
+        store.append(ledger_frame(spark, rows).coalesce(1), f"r{run}")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _rows_read(store.events_of(["M0002"])) < 0.5 * 4 * 1002
+        assert _rows_read(store.events_of(["M0001x", "M9999"])) < 0.5 * 4 * 1002
+        assert store.events_of(["M0002", "A0000"]).count() == 5
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    with pytest.raises(ValueError, match="participants"):
+        store.events_of([])
