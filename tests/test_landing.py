@@ -3,6 +3,7 @@
 import json
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +146,33 @@ def test_untaken_is_a_join_not_a_driver_list(spark, folder):
     files = landing.list_landing(spark, str(folder))
     plan = landing.untaken(files, files.limit(1))._jdf.queryExecution().toString()
     assert "LeftAnti" in plan and "CartesianProduct" not in plan
+
+
+def test_local_files_are_read_without_threads(folder, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("a thread was used")
+
+    land(folder, range(70))
+    land(folder, [70], text="")
+    land(folder, [71], text="\x00 é" * 40_000)
+    keys = sorted(str(p) for p in folder.rglob("*.json"))
+    monkeypatch.setattr(landing.ThreadPoolExecutor, "map", refuse)
+    asked = pa.RecordBatch.from_arrays([pa.array([f"file:{k}" for k in keys])], ["source_key"])
+    got = [v for b in landing._read_batches(iter([asked])) for v in b.column("value").to_pylist()]
+    assert got == [open(k, encoding="utf-8").read() for k in keys]
+
+
+def test_tasks_stay_within_few_folders(spark, folder):
+    rows = spark.range(400).select(
+        F.format_string("f%02d/log-%d.json", F.col("id") % 20, "id").alias("name"),
+        F.lit("{}").alias("value"),
+    )
+    at = F.spark_partition_id().alias("task")
+    written = landing._by_folder(rows.repartition(8)).select(at, "folder").distinct()
+    assert written.count() == 20
+    assert landing.write_objects(rows, str(folder)) == 400
+    files = landing.list_landing(spark, str(folder))
+    read = landing.read_objects(files, 400)
+    assert read.count() == 400
+    inside = F.regexp_extract("source_key", "/(f[0-9]+)/", 1).alias("folder")
+    assert read.select(at, inside).distinct().count() <= 20 + read.rdd.getNumPartitions()
