@@ -71,6 +71,35 @@ def test_late_arrivals_are_set_aside(spark, places):
     assert [r["action"] for r in visit_state.visit_states(spark, target).collect()] == ["delete"]
 
 
+def test_stream_takes_events_without_time_or_action(spark, places):
+    files, target, checkpoint = places
+    rows = [event("submit", at="2024-01-15 12:00"), event("pass-qc", at="2024-01-15 12:00"),
+            event("delete", at="2024-01-15 13:00", packet=None)]
+    df = ledger_frame(spark, rows).withColumn(
+        "timestamp", F.when(F.col("action") != "delete", F.col("timestamp"))
+    )
+    blank = df.where("action = 'submit'").withColumn("action", F.lit(None).cast("string"))
+    df.unionByName(blank).coalesce(1).write.parquet(files)
+    visit_state.follow_visits(stream_of(spark, files), target, checkpoint)
+    (got,) = visit_state.visit_states(spark, target).collect()
+    assert (got["action"], got["latest_score"], got["max_score"]) == ("submit", 3, 3)
+    assert not got["ever_drops"]
+
+
+def test_late_events_are_late_for_earlier_batches_only(spark, places):
+    files, target, checkpoint = places
+    batches = [["12:00"], ["14:00", "13:00"], ["13:30", "12:30", "15:00"], ["15:00", "11:00"]]
+    for hours in batches:
+        rows = [event(at=f"2024-01-15 {h}", number=n) for h in hours for n in (None, "01")]
+        ledger_frame(spark, rows).coalesce(1).write.mode("append").parquet(files)
+        visit_state.follow_visits(stream_of(spark, files), target, checkpoint)
+    late = visit_state.late_arrivals(spark, target).collect()
+    assert sorted((r["timestamp"].strftime("%H:%M"), r["visit_number"] or "") for r in late) == [
+        (h, n) for h in ("11:00", "12:30", "13:30") for n in ("", "01")
+    ]
+    assert {r["batch"] for r in late} == {2, 3}
+
+
 def test_stream_leaves_the_session_as_it_was(spark, places):
     files, target, checkpoint = places
     name = "spark.sql.streaming.stateStore.providerClass"
