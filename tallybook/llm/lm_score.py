@@ -44,6 +44,7 @@ CHUNK_WORDS = 1 << 18  # words worked on at a time, or one longer document
 _KEPT = "doc_id bigint, mark bigint, words array<int>"
 
 _TABLE = textkit.is_word_byte()
+_ONES = np.ones(CLASSES, np.float32)  # a product with it sums rows in one pass
 
 
 @dataclass
@@ -97,42 +98,44 @@ class Network:
         return views
 
     def _logits(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        embed, hidden, weight, out = self.parts()
+        """Hidden values with a column of ones, and class scores; the output bias is the ones' weight."""
+        embed, hidden, _, _ = self.parts()
         h = embed[context[:, 0]]
         for j in range(1, context.shape[1]):
             h += embed[context[:, j]]
         h += hidden
-        np.tanh(h, out=h)
-        logits = h @ weight
-        logits += out
-        return h, np.clip(logits, -30, 30, out=logits)
+        inner = np.ones((len(h), WIDTH + 1), h.dtype)
+        np.tanh(h, out=inner[:, :WIDTH])
+        logits = inner @ self.flat[-(WIDTH + 1) * CLASSES :].reshape(WIDTH + 1, CLASSES)
+        return inner, np.clip(logits, -30, 30, out=logits)
 
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and class log-probabilities; context rows index the embeddings."""
-        h, logits = self._logits(context)
-        return h, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        inner, logits = self._logits(context)
+        return inner[:, :WIDTH], logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
     def of_targets(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probabilities of the targets alone."""
         _, logits = self._logits(context)
-        chosen = logits[np.arange(len(target)), target].copy()
-        return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
+        chosen = logits[np.arange(len(target)), target]
+        return chosen - np.log(np.exp(logits, out=logits) @ _ONES)
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of the mean negative log-probability of the targets."""
         embed, _, weight, _ = self.parts()
-        h, d = self._logits(context)
+        inner, d = self._logits(context)
         np.exp(d, out=d)
-        d /= d.sum(axis=1, keepdims=True)
-        d[np.arange(len(target)), target] -= 1
-        d /= len(target)
+        d *= (1 / (len(target) * (d @ _ONES)))[:, None]
+        d[np.arange(len(target)), target] -= np.float32(1 / len(target))
+        h = inner[:, :WIDTH]
         dh = (d @ weight.T) * (1 - h * h)
-        cell = (context[:, :, None] * WIDTH + np.arange(WIDTH)).ravel()
-        spread = np.broadcast_to(dh[:, None, :], (*context.shape, WIDTH)).ravel()
-        de = np.bincount(cell, spread, minlength=embed.size)
-        return np.concatenate(
-            [de.astype(np.float32), dh.sum(0), (h.T @ d).ravel(), d.sum(0)], dtype=np.float32
-        )
+        # The places of each embedding row side by side, and summed.
+        order = np.argsort(context.ravel().astype(np.int16), kind="stable")
+        rows = context.ravel()[order]
+        cuts = np.flatnonzero(np.diff(rows, prepend=-1))
+        de = np.zeros(embed.shape, np.float32)
+        de[rows[cuts]] = np.add.reduceat(dh[order // context.shape[1]], cuts, axis=0)
+        return np.concatenate([de.ravel(), dh.sum(0), (inner.T @ d).ravel()])
 
 
 def n_buckets(n_words: int) -> int:
