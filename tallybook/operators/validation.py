@@ -32,16 +32,21 @@ class Rule:
     broken: Column | str
 
 
-def error_list(rules: Sequence[Rule]) -> Column:
-    """Messages of all broken rules; a rule whose condition is NULL is not broken."""
+def broken_messages(rules: Sequence[Rule]) -> Column:
+    """One entry per rule, in their order: its message where it is broken, else NULL."""
     if all(isinstance(r.broken, str) for r in rules):
         cases = ", ".join(
             f"CASE WHEN {r.broken} THEN {sql_text(r.message)} END" for r in rules
         )
-        return F.expr(f"array_compact(array({cases}))").cast("array<string>")
+        return F.expr(f"array({cases})").cast("array<string>")
     broken = [F.expr(r.broken) if isinstance(r.broken, str) else r.broken for r in rules]
     messages = [F.when(b, F.lit(r.message)) for b, r in zip(broken, rules, strict=True)]
-    return F.array_compact(F.array(*messages)).cast("array<string>")
+    return F.array(*messages).cast("array<string>")
+
+
+def error_list(rules: Sequence[Rule]) -> Column:
+    """Messages of all broken rules; a rule whose condition is NULL is not broken."""
+    return F.array_compact(broken_messages(rules))
 
 
 def sql_text(value: str) -> str:
@@ -154,7 +159,10 @@ def check_visit_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     )
 
     rules = _visit_event_rules() + (strict_rules() if strict else [])
-    return rows.select(*carried, *names, once(error_list(rules)).alias("errors"))
+    # Spark compiles the rules as a projection of their own; inside array_compact or a generator it
+    # would interpret each of them for each row.
+    judged = rows.select(*carried, *names, broken_messages(rules).alias("_broken"))
+    return judged.select(*carried, *names, once(F.array_compact("_broken")).alias("errors"))
 
 
 def once(value: Column) -> Column:

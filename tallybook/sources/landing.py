@@ -22,7 +22,8 @@ from tallybook.sources.event_files import file_key, select_event_files
 
 LISTING = "source_key string, size bigint, modified timestamp"
 _ENTRY = "source_key string, is_folder boolean, size bigint, modified timestamp"
-_BATCH = 4096  # listed entries sent at once
+_BATCH = 4096  # listed entries or contents sent at once
+_READ_BYTES = 4 << 20  # contents sent at once, and those of the files opened last
 _OPEN_AT_ONCE = 16  # files a task reads at the same time from a remote store
 _FILES_A_TASK = 10_000
 _LOCAL = arrow_fs.LocalFileSystem()
@@ -145,19 +146,31 @@ def _content(key: str) -> bytes:
         return stream.read()
 
 
+def _text_batch(keys: list[str], texts: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.string()), pa.array(texts, pa.string())], ["source_key", "value"]
+    )
+
+
 def _read_batches(batches):
-    """Local files one after the other, as threads would only wait for each other; remote ones together."""
+    """Local files one after the other, as threads would only wait for each other; remote ones together.
+
+    Rows go on in large batches, since each batch costs Spark about as much as dozens of checked rows.
+    """
     with ThreadPoolExecutor(_OPEN_AT_ONCE) as pool:
         for batch in batches:
             keys = batch.column("source_key").to_pylist()
+            texts, first, size = [], 0, 0
             for low in range(0, len(keys), 4 * _OPEN_AT_ONCE):
                 some = keys[low : low + 4 * _OPEN_AT_ONCE]
-                contents = map(_content, some) if _is_local(some[0]) else pool.map(_content, some)
-                texts = [c.decode("utf-8", "replace") for c in contents]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.string()), pa.array(texts, pa.string())],
-                    ["source_key", "value"],
-                )
+                for content in map(_content, some) if _is_local(some[0]) else pool.map(_content, some):
+                    texts.append(content.decode("utf-8", "replace"))
+                    size += len(content)
+                if size >= _READ_BYTES or len(texts) >= _BATCH:
+                    yield _text_batch(keys[first : first + len(texts)], texts)
+                    texts, first, size = [], first + len(texts), 0
+            if texts:
+                yield _text_batch(keys[first:], texts)
 
 
 def read_objects(files: DataFrame, n_files: int) -> DataFrame:

@@ -176,3 +176,18 @@ def test_tasks_stay_within_few_folders(spark, folder):
     assert read.count() == 400
     inside = F.regexp_extract("source_key", "/(f[0-9]+)/", 1).alias("folder")
     assert read.select(at, inside).distinct().count() <= 20 + read.rdd.getNumPartitions()
+
+
+def test_contents_go_on_in_large_batches_of_bounded_size(folder, monkeypatch):
+    land(folder, range(60))
+    paths = sorted(f"file:{p}" for p in folder.rglob("*.json"))
+    paths = (paths * 5)[:290]
+    keys = pa.RecordBatch.from_pydict({"source_key": paths})
+    whole = list(landing._read_batches([keys, keys.slice(0, 0)]))
+    assert [b.num_rows for b in whole] == [290]
+    monkeypatch.setattr(landing, "_READ_BYTES", 1)
+    parts = list(landing._read_batches([keys]))
+    assert [b.num_rows for b in parts] == [64, 64, 64, 64, 34]
+    assert pa.Table.from_batches(parts).to_pydict() == whole[0].to_pydict()
+    assert whole[0].column("source_key").to_pylist() == paths
+    assert json.loads(whole[0].column("value").to_pylist()[0])

@@ -242,3 +242,13 @@ def test_record_models(spark):
     for model in models:
         empty = validation.check_records(raw.limit(1), model).first()
         assert len(empty.errors) == len(model)
+
+
+def test_rules_are_a_projection_that_spark_compiles(spark):
+    """Inside a generator, or a function that Spark interprets, every rule is interpreted for every row."""
+    raw = spark.createDataFrame([("a", "{}")], "source_key string, value string")
+    plan = validation.check_visit_events(raw)._jdf.queryExecution().optimizedPlan().toString()
+    by_rules = [line for line in plan.split("\n") if "ptid: bad pattern" in line]
+    assert len(by_rules) == 1
+    assert by_rules[0].lstrip(" +-:").startswith("Project")
+    assert "lambdafunction" not in by_rules[0]
