@@ -38,6 +38,7 @@ STRIDE = 8
 ROUNDS = 2
 BATCH = 1024
 RATE = 0.1
+BOUND = 30  # of class scores
 GROUP_WORDS = 1 << 21  # words of a mixing group
 CHUNK_WORDS = 1 << 18  # words worked on at a time, or one longer document
 
@@ -97,45 +98,76 @@ class Network:
             at += n
         return views
 
-    def _logits(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden values with a column of ones, and class scores; the output bias is the ones' weight."""
+    def _inner(self, context: np.ndarray) -> np.ndarray:
+        """Hidden values with a column of ones, whose weight is the output bias."""
         embed, hidden, _, _ = self.parts()
-        h = embed[context[:, 0]]
+        h = embed.take(context[:, 0], axis=0)
         for j in range(1, context.shape[1]):
-            h += embed[context[:, j]]
+            h += embed.take(context[:, j], axis=0)
         h += hidden
         inner = np.ones((len(h), WIDTH + 1), h.dtype)
         np.tanh(h, out=inner[:, :WIDTH])
-        logits = inner @ self.flat[-(WIDTH + 1) * CLASSES :].reshape(WIDTH + 1, CLASSES)
-        return inner, np.clip(logits, -30, 30, out=logits)
+        return inner
+
+    def _output(self) -> tuple[np.ndarray, bool]:
+        """Output weights with the bias as the last row, and whether class scores may need a bound.
+
+        Hidden values are within 1, so no score is beyond the sum of its weights' sizes.
+        """
+        out = self.flat[-(WIDTH + 1) * CLASSES :].reshape(WIDTH + 1, CLASSES)
+        return out, not np.abs(out).sum(axis=0).max() <= BOUND
 
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and class log-probabilities; context rows index the embeddings."""
-        inner, logits = self._logits(context)
+        inner = self._inner(context)
+        logits = np.clip(inner @ self._output()[0], -BOUND, BOUND)
         return inner[:, :WIDTH], logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
-    def of_targets(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Log-probabilities of the targets alone."""
-        _, logits = self._logits(context)
+    def _scores(self, inner: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """Class scores in the memory of an earlier call, as fresh pages cost as much as the product."""
+        out, wide = self._output()
+        logits = np.matmul(inner, out, out=room[: len(inner)])
+        return np.clip(logits, -BOUND, BOUND, out=logits) if wide else logits
+
+    def of_targets(self, context: np.ndarray, target: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """Log-probabilities of the targets alone; room is working memory of a row per target."""
+        logits = self._scores(self._inner(context), room)
         chosen = logits[np.arange(len(target)), target]
         return chosen - np.log(np.exp(logits, out=logits) @ _ONES)
 
-    def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Of the mean negative log-probability of the targets."""
+    def gradient(
+        self, context: np.ndarray, target: np.ndarray, room: np.ndarray | None = None
+    ) -> np.ndarray:
+        """Of the mean negative log-probability of the targets; room as for ``of_targets``.
+
+        A row's scale, one over its sum of exponentials, goes to its hidden values and not over all classes.
+        """
         embed, _, weight, _ = self.parts()
-        inner, d = self._logits(context)
-        np.exp(d, out=d)
-        d *= (1 / (len(target) * (d @ _ONES)))[:, None]
-        d[np.arange(len(target)), target] -= np.float32(1 / len(target))
-        h = inner[:, :WIDTH]
-        dh = (d @ weight.T) * (1 - h * h)
+        n = len(target)
+        inner = self._inner(context)
+        d = self._scores(inner, working_memory(n) if room is None else room)
+        total = np.exp(d, out=d) @ _ONES
+        d[np.arange(n), target] -= total
+        scale = (1 / (n * total))[:, None]
+        dh = d @ weight.T
+        dh *= scale
+        slope = np.zeros(len(self.flat), np.float32)
+        slope[-(WIDTH + 1) * CLASSES :].reshape(WIDTH + 1, CLASSES)[:] = (d.T @ (inner * scale)).T
+        dh *= 1 - np.square(inner[:, :WIDTH])
         # The places of each embedding row side by side, and summed.
-        order = np.argsort(context.ravel().astype(np.int16), kind="stable")
-        rows = context.ravel()[order]
+        flat_rows = context.ravel().astype(np.int16)
+        order = np.argsort(flat_rows, kind="stable")
+        rows = flat_rows[order]
         cuts = np.flatnonzero(np.diff(rows, prepend=-1))
-        de = np.zeros(embed.shape, np.float32)
-        de[rows[cuts]] = np.add.reduceat(dh[order // context.shape[1]], cuts, axis=0)
-        return np.concatenate([de.ravel(), dh.sum(0), (inner.T @ d).ravel()])
+        sums = np.add.reduceat(dh.take(order // context.shape[1], axis=0), cuts, axis=0)
+        slope[: embed.size].reshape(embed.shape)[rows[cuts]] = sums
+        np.sum(dh, axis=0, out=slope[embed.size : embed.size + WIDTH])
+        return slope
+
+
+def working_memory(n: int) -> np.ndarray:
+    """Class scores of n targets."""
+    return np.empty((n, CLASSES), np.float32)
 
 
 def n_buckets(n_words: int) -> int:
@@ -189,17 +221,27 @@ def _row_chunks(column: pa.Array):
         low = high
 
 
+def spread(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all texts with edges around each text, and the place of every word among them."""
+    reach = max(map(abs, AROUND))
+    texts = np.arange(1, len(first))
+    places = np.arange(len(classes)) + np.repeat(reach * texts, np.diff(first))
+    padded = np.full(len(classes) + reach * len(first), EDGE, dtype=np.int64)
+    padded[places] = classes
+    return padded, places
+
+
+def around(padded: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Embedding rows of the words around some places of ``spread``."""
+    out = np.empty((len(places), len(AROUND)), dtype=np.int64)
+    for j, step in enumerate(AROUND):
+        np.add(padded.take(places + step), j * (CLASSES + 1), out=out[:, j])
+    return out
+
+
 def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Embedding rows of the words around each word of its own text."""
-    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    out = np.full((len(classes), len(AROUND)), EDGE, dtype=np.int64)
-    for j, step in enumerate(AROUND):
-        here = slice(max(0, -step), len(classes) - max(0, step))
-        there = slice(max(0, step), len(classes) - max(0, -step))
-        if len(classes) > abs(step):
-            same = row[here] == row[there]
-            out[here, j] = np.where(same, classes[there], EDGE)
-    return out + np.arange(len(AROUND)) * (CLASSES + 1)
+    return around(*spread(classes, first))
 
 
 def _count(batches, size: int):
@@ -240,6 +282,7 @@ def _train(batches, vocabulary: Vocabulary, flat: np.ndarray, phases: range):
     total, weight = np.zeros(len(flat)), 0
     group, net, squares, trained = None, None, None, 0
     size = np.uint32(len(vocabulary.classes))
+    room, scores = np.empty(len(flat), np.float32), working_memory(BATCH)
 
     def close():
         nonlocal total, weight
@@ -254,16 +297,18 @@ def _train(batches, vocabulary: Vocabulary, flat: np.ndarray, phases: range):
             net = Network(flat.copy())
             squares = np.full(len(flat), 1e-3, dtype=np.float32)
         classes = vocabulary.classes[words % size].astype(np.int64)
-        around = contexts(classes, first)
+        padded, places = spread(classes, first)
         for phase in phases:
             # Targets of a step lie far apart, so a step mixes texts.
             at = np.arange(phase, len(classes), STRIDE)
             steps = -(-len(at) // BATCH)
             for part in range(steps):
                 pick = at[part::steps]
-                slope = net.gradient(around[pick], classes[pick])
-                squares += slope * slope
-                net.flat -= RATE * slope / np.sqrt(squares)
+                slope = net.gradient(around(padded, places[pick]), classes[pick], scores)
+                squares += np.square(slope, out=room)
+                np.sqrt(squares, out=room)
+                slope *= RATE
+                net.flat -= np.divide(slope, room, out=room)
                 trained += len(pick)
     close()
     if weight:
@@ -279,16 +324,17 @@ def _train(batches, vocabulary: Vocabulary, flat: np.ndarray, phases: range):
 
 def _score(batches, vocabulary: Vocabulary, flat: np.ndarray):
     net, size = Network(flat), np.uint32(len(vocabulary.classes))
+    scores = working_memory(BATCH)
     for batch in batches:
         total, count = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
         for low, high, words, first in _row_chunks(batch.column("words")):
             buckets = words % size
             classes = vocabulary.classes[buckets].astype(np.int64)
-            around = contexts(classes, first)
+            padded, places = spread(classes, first)
             logp = vocabulary.inner[buckets].astype(np.float64)
-            for a in range(0, len(classes), 2 * BATCH):
-                b = min(a + 2 * BATCH, len(classes))
-                logp[a:b] += net.of_targets(around[a:b], classes[a:b])
+            for a in range(0, len(classes), BATCH):
+                b = min(a + BATCH, len(classes))
+                logp[a:b] += net.of_targets(around(padded, places[a:b]), classes[a:b], scores)
             row = np.repeat(np.arange(high - low), np.diff(first))
             total[low:high] = np.bincount(row, logp, minlength=high - low)
             count[low:high] = np.diff(first)

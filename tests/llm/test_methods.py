@@ -565,6 +565,31 @@ def test_scores_by_brute_force():
         assert got["log_likelihood"][r] == pytest.approx(total, rel=1e-4, abs=1e-4)
 
 
+def test_lm_score_steps_see_only_their_places_and_share_memory():
+    """Contexts are made for a step's targets alone, and scores beyond the bound stay bounded."""
+    rng = np.random.default_rng(11)
+    classes, first = rng.integers(0, 256, 200), np.array([0, 0, 1, 3, 80, 200, 200])
+    whole = lm_score.contexts(classes, first)
+    for i in range(200):  # by brute force
+        text = int(np.searchsorted(first, i, side="right")) - 1
+        for j, step in enumerate(lm_score.AROUND):
+            inside = first[text] <= i + step < first[text + 1]
+            expected = classes[i + step] if inside else lm_score.EDGE
+            assert whole[i, j] == expected + j * (lm_score.CLASSES + 1)
+    padded, places = lm_score.spread(classes, first)
+    pick = np.arange(3, 200, 8)
+    assert (lm_score.around(padded, places[pick]) == whole[pick]).all()
+
+    net = lm_score.Network.start(rng.integers(1, 99, 256).astype(float))
+    room = np.full((200, lm_score.CLASSES), np.nan, np.float32)  # what an earlier step left there
+    for size in (1, 40):  # scores within the bound, and beyond it
+        net.flat *= np.float32(size)
+        g = net.gradient(whole[pick], classes[pick], room)
+        assert (g == net.gradient(whole[pick], classes[pick])).all() and np.isfinite(g).all()
+        logp = net.forward(whole[pick])[1][np.arange(len(pick)), classes[pick]]
+        assert net.of_targets(whole[pick], classes[pick], room) == pytest.approx(logp, abs=1e-4)
+
+
 def test_gradient_by_differences():
     rng = np.random.default_rng(2)
     net = lm_score.Network.start(np.ones(lm_score.CLASSES))
