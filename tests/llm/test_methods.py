@@ -540,6 +540,31 @@ def test_repeats_query(run, texts):
     assert [got[i] for i in ids] == repeats_by_brute_force([texts[i].encode() for i in ids], 400)
 
 
+def test_unbroken_repeats_are_one_row(docs):
+    """A piece repeated without a break is no frequent key: one row a text, with its places."""
+    rng = random.Random(31)
+    letters = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    run = "Is onhe. " * 150
+    rows = [letters(rng.randrange(200)) + run[k:] + letters(rng.randrange(600)) for k in range(12)]
+    rows += ["Ab, cd. " * 90, letters(500), letters(30) + ("x" * 99 + "y") * 6]
+    rows.append(letters(450) + "x" * 401)
+    lengths = [len(t.encode()) for t in rows]
+    found = suffix_dups.find_anchors(*textkit.buffer_of(pa.array(rows)))
+    for row, size in enumerate(lengths):  # the rows' strings start everywhere, and in order
+        here = np.flatnonzero(found["row"] == row)
+        ends = found["stop"][here] - 400
+        assert found["low"][here].tolist() == [0, *(ends[:-1] + 1).tolist()]
+        assert ends[-1] == size - 400
+    hot = Counter()
+    for one, times in zip(found["one"].tolist(), found["times"].tolist(), strict=True):
+        hot[one] += times
+    frequent, places = hot.most_common(1)[0]
+    assert places > 1000 and (found["one"] == frequent).sum() <= 12
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dups.remove_repeats(docs(rows)).collect()}
+    want = repeats_by_brute_force([t.encode() for t in rows], 400)
+    assert [got[i] for i in range(len(rows))] == want
+
+
 def test_scores_by_brute_force():
     rng = np.random.default_rng(4)
     vocabulary = lm_score.Vocabulary.of(rng.integers(0, 50, 1 << 14).astype(float))
