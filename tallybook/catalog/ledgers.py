@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallybook import schema, session
-from tallybook.catalog.base import query, visit_events
+from tallybook.catalog.base import query, table, visit_events
 from tallybook.catalog.ingest import EXPECTED_ERRORS, EXPECTED_VALID, ledger_view, raw_events
 from tallybook.operators import counts, filters, validation
 from tallybook.plans import incremental, landing_run
@@ -371,15 +371,37 @@ _OBJECT_ERRORS = """SELECT e.event_id, COALESCE(x.errors, '') AS errors
   FROM visit_events e LEFT JOIN expected_errors x ON e.event_id = x.event_id"""
 
 
+# A local disk holds a block and a node for each file, ten times what is in it. A landing of more files lies
+# there in slices of about so many; once a slice is read, the next one takes its files over.
+_FILES_AT_ONCE = 2_000_000
+
+
+def _slices(spark, sf_dir: str, folder: str) -> list[Column]:
+    """Conditions on event_id: one of them holds for each event, each for about `_FILES_AT_ONCE` or fewer."""
+    events, at = table(spark, sf_dir, "events"), F.col("event_id")
+    n = -(-events.count() // _FILES_AT_ONCE)
+    if n <= 1 or not landing.is_local(folder):
+        return [F.lit(True)]
+    shares = F.array(*[F.lit(k / n) for k in range(1, n)])
+    cuts = sorted(set(events.agg(F.percentile_approx(at, shares, 100 * n)).first()[0] or []))
+    if not cuts:
+        return [F.lit(True)]
+    between = [(at >= low) & (at < high) for low, high in zip(cuts, cuts[1:])]
+    return [(at < cuts[0]) | at.isNull(), *between, at >= cuts[-1]]
+
+
 def _land_objects(rows: DataFrame, folder: str) -> int:
-    """One file per event; some of those that are no JSON are empty files."""
+    """One file per event with the event's time; some of those that are no JSON are empty files."""
     name = F.concat_ws(
         "/",
         F.floor(F.col("event_id") / 500).cast("string"),
         F.concat_ws("-", F.col("event_id").cast("string"), F.element_at(F.split("source_key", "/"), -1)),
     )
     value = F.when(F.col("value") != "not json", F.col("value"))
-    return landing.write_objects(rows.select(name.alias("name"), value.alias("value")), folder)
+    landed = [name.alias("name"), value.alias("value")]
+    if landing.is_local(folder):
+        landed.append(F.col("event_time").cast("timestamp").alias("modified"))
+    return landing.write_objects(rows.select(*landed), folder)
 
 
 def _event_id_of(key: str):
@@ -406,13 +428,23 @@ def objects_ingest(spark, sf_dir):
     expected_errors=EXPECTED_ERRORS,
 )
 def landing_steps(spark, sf_dir):
-    """Files land in two steps with a run after each: which run took which file."""
+    """Files land in two steps with a run after each: which run took which file.
+
+    Where the landing lies there in slices, the second run meets the first step's files of a slice again, of
+    the same path, size and time, beside those of its own step.
+    """
     folder, store = session.scratch_path(spark, "objects"), _fresh_store(spark)
-    raw = raw_events(spark, sf_dir)
+    raw, slices = raw_events(spark, sf_dir), _slices(spark, sf_dir, folder)
     early = F.col("event_time") < F.lit(_CUT).cast("timestamp_ntz")
-    for run, part in (("first", early), ("second", ~early)):
-        _land_objects(raw.where(part), folder)
-        landing_run.run_landing(spark, folder, store, run)
+    whole = len(slices) == 1
+    for run, part in (("first", early), ("second", ~early if whole else early | ~early)):
+        intake = landing_run.LandingIntake(spark, store, run)
+        for here in slices:
+            if not whole:
+                landing.spend_landing(folder)
+            _land_objects(raw.where(here & part), folder)
+            intake.open(folder)
+        intake.close()
     bad = store.aside("quarantine").select("source_key", F.lit(True).alias("bad"))
     taken = store.aside(landing_run.TAKEN).join(bad, "source_key", "left")
     return taken.select(

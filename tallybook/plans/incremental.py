@@ -98,11 +98,27 @@ def run_incremental(
     `marks` replaces the store's own watermarks (a stream keeps one set for all of
     its batches). Nothing is written to the store when no event is new.
     """
+    staging = session.scratch_path(store.spark, "run")
+    staged = stage_checked(store.spark, raw, f"{staging}/checked", strict)
+    return run_staged(staged, store, staging, run_id, marks)
+
+
+def stage_checked(spark: SparkSession, raw: DataFrame, path: str, strict: bool = False) -> DataFrame:
+    """Check raw (source_key, value) rows and write them once."""
+    slim = raw.select("source_key", "value")
+    return stage(spark, validation.check_visit_events(slim, strict), path)
+
+
+def run_staged(
+    staged: DataFrame,
+    store: LedgerStore,
+    staging: str,
+    run_id: str | None = None,
+    marks: DataFrame | None = None,
+) -> RunResult:
+    """Extend the ledgers by rows that were checked and written; `staging` is the folder they are in."""
     spark = store.spark
     run_id = run_id or uuid.uuid4().hex
-    staging = session.scratch_path(spark, "run")
-    slim = raw.select("source_key", "value")
-    staged = stage(spark, validation.check_visit_events(slim, strict), f"{staging}/checked")
     valid = validation.valid_rows(staged)
     # Stored, so that the result frames keep the watermarks of this run after its append.
     marked = stage(spark, store.marks() if marks is None else marks, f"{staging}/marks")

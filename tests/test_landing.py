@@ -2,11 +2,15 @@
 
 import json
 import os
+import re
+import uuid
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tallybook import session
+from tallybook.catalog import ledgers
 from tallybook.plans.landing_run import TAKEN, run_landing
 from tallybook.sources import landing
 from tallybook.sources.ledger_store import LedgerStore
@@ -191,3 +195,137 @@ def test_contents_go_on_in_large_batches_of_bounded_size(folder, monkeypatch):
     assert pa.Table.from_batches(parts).to_pydict() == whole[0].to_pydict()
     assert whole[0].column("source_key").to_pylist() == paths
     assert json.loads(whole[0].column("value").to_pylist()[0])
+
+
+# --- landings of more files than a disk is to hold ------------------------------------
+
+
+@pytest.fixture
+def events_dir(spark, tmp_path):
+    """Events whose ids fall with time, lie far apart and are not whole folders."""
+    path = tmp_path / "data"
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(700).withColumn(
+        "event_id", 90_000 - F.col("event_id") * 90
+    ).coalesce(1).write.parquet(str(path / "events.parquet"))
+    return str(path)
+
+
+def files_below(root):
+    return sum(len(n) for d, _, n in os.walk(root) if re.search(r"/objects-\w+/", d))
+
+
+def sliced(query, spark, events_dir, tmp_path, monkeypatch, at_once):
+    """The query's rows, the most files that ever lay there, and the files each run's listings found."""
+    before, most, listed = files_below(tmp_path), [0], []
+    real = landing.list_landing
+
+    def watched(spark, path):
+        most[0] = max(most[0], files_below(tmp_path) - before)
+        listed.append(real(spark, path))
+        return listed[-1]
+
+    monkeypatch.setattr(ledgers, "_FILES_AT_ONCE", at_once)
+    monkeypatch.setattr(landing, "list_landing", watched)
+    monkeypatch.setattr(
+        session, "scratch_path", lambda _, label: f"file:{tmp_path}/{label}-{uuid.uuid4().hex}"
+    )
+    rows = sorted(map(tuple, query(spark, events_dir).collect()))
+    return rows, most[0], [x.count() for x in listed]
+
+
+def test_second_run_meets_the_files_of_the_first_in_every_slice(
+    spark, events_dir, tmp_path, monkeypatch
+):
+    stores = []
+    monkeypatch.setattr(
+        ledgers,
+        "_fresh_store",
+        lambda s: stores.append(LedgerStore(s, f"{tmp_path}/ledgers-{len(stores)}")) or stores[-1],
+    )
+    run = lambda n: sliced(
+        ledgers.landing_steps, spark, events_dir, tmp_path, monkeypatch, n
+    )
+    whole, _, listings = run(10**6)
+    first = sum(r[0] == "first" for r in whole)
+    assert 0 < first < 700 and listings == [first, 700]
+    parts, most, listings = run(150)
+    assert parts == whole
+    assert len(listings) == 10 and most <= 200
+    assert (sum(listings[:5]), sum(listings[5:])) == (first, 700)
+    assert 0 in listings[:5]  # a slice without files of the first step
+    # One store with one run a step, under the same watermarks as for the whole landing.
+    assert [s.committed_runs() for s in stores] == [["first", "second"]] * 2
+    for rows in (lambda s: s.events(), lambda s: s.aside("late").drop("run")):
+        a, b = ([tuple(map(str, r)) for r in rows(s).collect()] for s in stores)
+        assert sorted(a) == sorted(b)
+
+
+def test_slices_hold_each_event_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledgers, "_FILES_AT_ONCE", 10)
+    ids = [(i,) for i in [None, None, -5, 7, 7, *range(10**12, 10**12 + 90)]]
+    spark.createDataFrame(ids, "event_id bigint").write.parquet(f"{tmp_path}/events.parquet")
+    events = spark.read.parquet(f"{tmp_path}/events.parquet")
+    sizes = [events.where(c).count() for c in ledgers._slices(spark, str(tmp_path), "/x")]
+    assert sum(sizes) == 95 and len(sizes) == 10 and max(sizes) <= 13
+    assert len(ledgers._slices(spark, str(tmp_path), "s3a://bucket/x")) == 1
+
+
+def test_spent_files_are_taken_over(spark, folder):
+    land(folder, range(9))
+    (folder / "own.json").write_text("old" * 100)
+    (folder / "a" / "b").mkdir(parents=True)
+    (folder / "a" / "b" / "c.json").write_text("old")
+    nodes = {os.stat(p).st_ino for p in folder.rglob("*.json")}
+    landing.spend_landing(str(folder))
+    assert landing.list_landing(spark, str(folder)).count() == 0
+    rows = [(f"n{i % 2}/{i}.json", "" if i == 3 else f"é{i}" * i) for i in range(8)]
+    df = spark.createDataFrame(rows, "name string, value string").coalesce(1)
+    assert landing.write_objects(df, f"file:{folder}") == 8
+    assert landing.write_objects(df, f"file:{folder}") == 8  # as a repeated task would
+    files = landing.list_landing(spark, str(folder))
+    back = {r[0].split("/landing/")[1]: r[1] for r in landing.read_objects(files, 8).collect()}
+    assert back == dict(rows)
+    assert {os.stat(folder / n).st_ino for n, _ in rows} <= nodes
+    assert not list(folder.glob(".claimed*"))
+    land(folder, range(30, 40))  # a rest of spares and files beyond them
+    landing.spend_landing(str(folder))
+    more = spark.createDataFrame([(f"m/{i}.json", "x") for i in range(40)], df.schema)
+    assert landing.write_objects(more, str(folder)) == 40
+    found = landing.list_landing(spark, str(folder))
+    assert [r[1] for r in landing.read_objects(found, 40).collect()] == ["x"] * 40
+    with pytest.raises(ValueError, match="local"):
+        landing.spend_landing("s3a://bucket/x")
+
+
+def test_a_spare_is_one_tasks_alone(folder):
+    def use(spares):
+        file = spares.take()
+        if file:
+            os.unlink(file)
+        return file
+
+    land(folder, range(6))  # two in each of three folders
+    landing.spend_landing(str(folder))
+    one, other = landing._Spares(str(folder)), landing._Spares(str(folder))
+    taken = [use(one) for _ in range(3)] + [use(other) for _ in range(2)]
+    assert len(set(taken)) == 5 and use(other) is None
+    assert use(landing._Spares(str(folder))) is None  # as if the first task had failed
+    one.give_back()
+    assert use(landing._Spares(str(folder))) is not None
+
+
+def test_objects_get_their_times(spark, folder):
+    rows = spark.sql("""SELECT 'd/a' AS name, 'x' AS value, TIMESTAMP '2024-01-02 03:04:05.678901' AS modified
+                        UNION ALL SELECT 'd/b', NULL, NULL""")
+    assert landing.write_objects(rows, str(folder)) == 2
+    found = landing.list_landing(spark, str(folder)).orderBy("source_key")
+    times = [str(r[0]) for r in found.select(F.col("modified").cast("string")).collect()]
+    assert times[0] == "2024-01-02 03:04:05.678901" and times[1] > "2026"
+    with pytest.raises(ValueError, match="times from the store"):
+        landing.write_objects(rows, "s3://bucket/x")
+
+
+def test_no_objects_still_make_the_folder(spark, tmp_path):
+    none = spark.createDataFrame([], "name string, value string")
+    assert landing.write_objects(none, str(tmp_path / "none")) == 0
+    assert landing.list_landing(spark, str(tmp_path / "none")).count() == 0
