@@ -411,13 +411,21 @@ def _event_id_of(key: str):
 @query("objects_ingest", _OBJECT_ERRORS, expected_errors=EXPECTED_ERRORS)
 def objects_ingest(spark, sf_dir):
     """Every event landed as a file of its own, listed, read and checked; some files are empty."""
-    folder = session.scratch_path(spark, "objects")
-    _land_objects(raw_events(spark, sf_dir), folder)
-    files = landing.select_landed(landing.list_landing(spark, folder), "objects")
-    checked = validation.check_visit_events(landing.read_objects(files, files.count()))
-    return checked.select(
-        _event_id_of("source_key").alias("event_id"), F.array_join("errors", "; ").alias("errors")
-    )
+    folder, kept = session.scratch_path(spark, "objects"), session.scratch_path(spark, "checked")
+    raw, parts = raw_events(spark, sf_dir), []
+    for here in _slices(spark, sf_dir, folder):
+        if parts:
+            landing.spend_landing(folder)
+        _land_objects(raw.where(here), folder)
+        files = landing.select_landed(landing.list_landing(spark, folder), "objects")
+        checked = validation.check_visit_events(landing.read_objects(files, files.count()))
+        rows = checked.select(
+            _event_id_of("source_key").alias("event_id"),
+            F.array_join("errors", "; ").alias("errors"),
+        )
+        parts.append(f"{kept}/{len(parts)}")
+        incremental.stage(spark, rows, parts[-1])
+    return spark.read.schema(rows.schema).parquet(*parts)
 
 
 @query(

@@ -233,6 +233,18 @@ def sliced(query, spark, events_dir, tmp_path, monkeypatch, at_once):
     return rows, most[0], [x.count() for x in listed]
 
 
+def test_landed_files_on_disk_are_bounded(spark, events_dir, tmp_path, monkeypatch):
+    run = lambda n: sliced(
+        ledgers.objects_ingest, spark, events_dir, tmp_path, monkeypatch, n
+    )
+    whole, most, listings = run(10**6)
+    assert (len(whole), most, listings) == (700, 700, [700])
+    parts, most, listings = run(250)
+    assert parts == whole
+    assert sum(listings) == 700 and len(listings) == 3
+    assert most <= 300
+
+
 def test_second_run_meets_the_files_of_the_first_in_every_slice(
     spark, events_dir, tmp_path, monkeypatch
 ):
